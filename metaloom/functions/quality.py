@@ -7,7 +7,7 @@ from metaloom.constants import (DEAD_HOST, DEAD_PHRASES, FILE_EXTENSION, GEO_ADD
                                 GEO_EXTENSION, GEO_FORMATS, GONE, HTTP_ERRORS, PXWEB_ADDRESS,
                                 TOO_MANY_REQUESTS)
 from metaloom.functions.literals import literal_map
-from metaloom.functions.text import casefold, strip
+from metaloom.functions.text import casefold, let, strip
 from metaloom.functions.uris import as_column, host_of, path_of, scheme_of
 
 
@@ -86,32 +86,43 @@ def probe_verdict(url, head_status, get_status, head_final, baseline_final, erro
     second_get = null_int if insecure_get_status is None else insecure_get_status
     second_final = null_text if insecure_final is None else insecure_final
     retried = certificate & second_head.isNotNull()
-    head = F.when(retried, second_head).otherwise(head_status)
-    get = F.when(retried, second_get).otherwise(get_status)
-    final = F.when(retried, second_final).otherwise(head_final)
-    asked_again = (head >= 400) & (head != 429)
-    status = F.when(asked_again, F.coalesce(get, head)).otherwise(head)
-    landed = F.when(~asked_again, F.regexp_replace(final, "/+$", ""))
-    asked = F.regexp_replace(url, "/+$", "")
-    http = scheme_of(url).isin("http", "https") & (host_of(url) != "")
-    failed = error.isNotNull() & ~retried
+    answers = F.struct(
+        F.when(retried, second_head).otherwise(head_status).alias("head"),
+        F.when(retried, second_get).otherwise(get_status).alias("get"),
+        F.when(retried, second_final).otherwise(head_final).alias("final"),
+        retried.alias("retried"))
+
+    def bare(address):
+        return F.regexp_replace(address, "/+$", "")
+
+    def told(a):
+        """One status, and whether the redirect landed where the site sends what is missing.
+        A GET that stood in for a refused HEAD has no final address."""
+        again = (a["head"] >= 400) & (a["head"] != 429)
+        soft = ~again & (bare(a["final"]) != bare(url)) & (bare(a["final"]) == bare(baseline_final))
+        return F.struct(
+            F.when(again, F.coalesce(a["get"], a["head"])).otherwise(a["head"]).alias("status"),
+            F.coalesce(soft, F.lit(False)).alias("soft"), a["retried"].alias("retried"))
 
     def verdict(state, reason, cert, answered):
         return F.struct(F.lit(state).alias("status"), reason.cast("string").alias("reason"),
                         cert.alias("invalid_cert"),
                         F.lit(answered).cast("boolean").alias("answered"))
 
-    no = F.lit(False)
-    return (F.when(~http, verdict("unverified", F.lit("not an http address"), no, None))
-            .when(failed & (error == "timeout"),
-                  verdict("unverified", F.lit("timeout"), no, False))
-            .when(failed & ~F.coalesce(host_known, F.lit(True)),
-                  verdict("dead", F.lit("host not found"), no, None))
-            .when(failed, verdict("unverified", F.substring(error, 1, 200), no, False))
-            .when(status == 429, verdict("unverified", F.lit(TOO_MANY_REQUESTS), no, True))
-            .when(status.isin(GONE), verdict("dead", status_phrase(status), retried, True))
-            .when(status >= 400, verdict("unverified", status_phrase(status), retried, True))
-            .when((landed != asked)
-                  & (landed == F.regexp_replace(baseline_final, "/+$", "")),
-                  verdict("dead", F.lit("soft 404"), retried, True))
-            .otherwise(verdict("alive", null_text, retried, True)))
+    def judged(p):
+        no, status, cert = F.lit(False), p["status"], p["retried"]
+        http = scheme_of(url).isin("http", "https") & (host_of(url) != "")
+        failed = error.isNotNull() & ~cert
+        return (F.when(~http, verdict("unverified", F.lit("not an http address"), no, None))
+                .when(failed & (error == "timeout"),
+                      verdict("unverified", F.lit("timeout"), no, False))
+                .when(failed & ~F.coalesce(host_known, F.lit(True)),
+                      verdict("dead", F.lit("host not found"), no, None))
+                .when(failed, verdict("unverified", F.substring(error, 1, 200), no, False))
+                .when(status == 429, verdict("unverified", F.lit(TOO_MANY_REQUESTS), no, True))
+                .when(status.isin(GONE), verdict("dead", status_phrase(status), cert, True))
+                .when(status >= 400, verdict("unverified", status_phrase(status), cert, True))
+                .when(p["soft"], verdict("dead", F.lit("soft 404"), cert, True))
+                .otherwise(verdict("alive", null_text, cert, True)))
+
+    return let(answers, lambda a: let(told(a), judged))

@@ -56,22 +56,31 @@ def _decompositions():
     return single, several, combining
 
 
+def let(value, body) -> Column:
+    """`body` of a value that is computed once, however often `body` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip_accents(text) -> Column:
     """Text with accents and other combining marks removed, compatibility forms unfolded.
 
-    ASCII text skips the work: the branches of a `when` are evaluated only where it holds.
+    ASCII text is left alone, and most other text is ASCII after one pass of single-character
+    replacements: the branches of a `when` are evaluated only where it holds. Characters that
+    unfold to several are looked for only in what is left.
     """
     text = F.coalesce(as_column(text), F.lit(""))
     single, several, combining = _decompositions()
+    beyond_ascii = "[^\\x00-\\x7f]"
+
+    def unfold(bare):
+        held = F.filter(F.map_entries(literal_map(several)), lambda e: F.contains(bare, e["key"]))
+        return F.aggregate(held, bare, lambda done, e: F.replace(done, e["key"], e["value"]))
+
+    def rest(bare):
+        return F.when(~bare.rlike(beyond_ascii), bare).otherwise(unfold(bare))
+
     bare = F.translate(text, "".join([*single, *combining]), "".join(single.values()))
-    unfolding = literal_map(several)
-    spelled = F.array_join(
-        F.transform(F.split(bare, ""), lambda ch: F.coalesce(F.try_element_at(unfolding, ch), ch)),
-        "")
-    any_of_several = "[" + "".join(several) + "]"
-    return (F.when(~text.rlike("[^\\x00-\\x7f]"), text)
-            .when(~text.rlike(any_of_several), bare)
-            .otherwise(spelled))
+    return F.when(~text.rlike(beyond_ascii), text).otherwise(let(bare, rest))
 
 
 def slugify(text) -> Column:

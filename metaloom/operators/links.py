@@ -151,11 +151,11 @@ def scope_counts(records: DataFrame) -> DataFrame:
 
 # --- within one host, in order -----------------------------------------------
 
-def _block(seq):
-    return F.floor(F.col(seq) / F.lit(BLOCK_ROWS)).cast("bigint")
+def _block(seq, rows):
+    return F.floor(F.col(seq) / F.lit(rows)).cast("bigint")
 
 
-def interleave_hosts(urls: DataFrame, order="ord", limit=None) -> DataFrame:
+def interleave_hosts(urls: DataFrame, order="ord", limit=None, block_rows=BLOCK_ROWS) -> DataFrame:
     """Distinct URLs with their place: one URL per host in turn, hosts as first seen.
 
     The place within a host is counted in two steps, within blocks of `order` and over the
@@ -163,7 +163,7 @@ def interleave_hosts(urls: DataFrame, order="ord", limit=None) -> DataFrame:
     """
     distinct = (urls.groupBy("url").agg(F.min(order).alias("ord"))
                 .withColumn("host", host_of(F.col("url")))
-                .withColumn("block", _block("ord")))
+                .withColumn("block", _block("ord", block_rows)))
     in_block = Window.partitionBy("host", "block").orderBy("ord", "url")
     before = (Window.partitionBy("host").orderBy("block")
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -179,7 +179,7 @@ def interleave_hosts(urls: DataFrame, order="ord", limit=None) -> DataFrame:
     return ordered if limit is None else ordered.limit(limit)
 
 
-def give_up_on_hosts(probes: DataFrame) -> DataFrame:
+def give_up_on_hosts(probes: DataFrame, block_rows=BLOCK_ROWS) -> DataFrame:
     """Verdicts `(url, host, seq, status, reason, invalid_cert, answered)` with what follows a
     host's stop inheriting its reason.
 
@@ -190,7 +190,7 @@ def give_up_on_hosts(probes: DataFrame) -> DataFrame:
     """
     assert GIVE_UP_AFTER == 2, "the look back is one row"
     told = probes.filter(F.col("answered").isNotNull() & (F.col("host") != ""))
-    told = told.withColumn("block", _block("seq"))
+    told = told.withColumn("block", _block("seq", block_rows))
     in_block = Window.partitionBy("host", "block").orderBy("seq")
     looked = told.withColumn("_before", F.lag("answered").over(in_block))
     silent = ~F.col("answered")

@@ -149,10 +149,10 @@ class Tables:
         number = F.get_json_object("props", "$.k").cast("int")
         return self.events.select(
             F.concat(F.lit("https://dl.example.org/"), "user_id", F.lit(".zip")).alias("uri"),
-            F.concat(F.lit("ctx"), number % 7).alias("context"),
+            F.concat(F.lit("ctx"), F.floor(number / 15).cast("string")).alias("context"),
             F.when(F.col("event_type") == "error", "broken")
             .when(F.col("event_type") == "signup", "excluded").otherwise("success").alias("status"),
-            F.when(number % 2 == 0, "Not Found").otherwise("timeout").alias("statusMessage"),
+            F.when(number < 50, "Not Found").otherwise("timeout").alias("statusMessage"),
             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("checkedAt"),
             F.col("event_id").alias("pos"))
 
