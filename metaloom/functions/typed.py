@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from metaloom.constants import FLOAT_TYPES, INTEGER_TYPES, XSD
-from metaloom.functions.text import strip
+from metaloom.functions.text import let, strip
 from metaloom.functions.uris import as_column
 
 _DAY = "^\\d{4}-\\d{2}-\\d{2}$"
@@ -29,33 +29,34 @@ def _is_date(day) -> Column:
 def moment_text(text) -> Column:
     """ISO date and time where the text is one: `T` between, fractions as six digits, the
     offset as `+hh:mm`."""
-    value = strip(text)
+    # One match gives all parts; text that does not match stays in one piece.
+    parts = F.split(F.regexp_replace(strip(text), _MOMENT, "$1\u0001$2\u0001$3\u0001$4\u0001$5\u0001$6"),
+                    "\u0001", -1)
 
-    def part(n):
-        return F.regexp_extract(value, _MOMENT, n)
+    def clock(p, n):
+        return F.when(p[n] == "", "00").otherwise(p[n])
 
-    def filled(n):
-        return F.when(part(n) == "", "00").otherwise(part(n))
+    def offset(mark):
+        return (F.when(mark == "Z", "+00:00")
+                .when(F.length(mark) == 3, F.concat(mark, F.lit(":00")))
+                .when(F.length(mark) == 5, F.concat(F.substring(mark, 1, 3), F.lit(":"), F.substring(mark, 4, 2)))
+                .otherwise(mark))
 
-    fraction = F.rpad(F.substring(part(5), 1, 6), 6, "0")
-    offset = part(6)
-    offset = (F.when(offset == "", "").when(offset == "Z", "+00:00")
-              .when(F.length(offset) == 3, F.concat(offset, F.lit(":00")))
-              .when(F.length(offset) == 5,
-                    F.concat(F.substring(offset, 1, 3), F.lit(":"), F.substring(offset, 4, 2)))
-              .otherwise(offset))
-    valid = (value.rlike(_MOMENT) & _is_date(part(1)) & (filled(2) < "24") & (filled(3) < "60")
-             & (filled(4) < "60"))
-    return F.when(valid, F.concat(
-        part(1), F.lit("T"), filled(2), F.lit(":"), filled(3), F.lit(":"), filled(4),
-        F.when((part(5) != "") & (fraction != "000000"), F.concat(F.lit("."), fraction))
-        .otherwise(""), offset))
+    def written(p):
+        fraction = F.rpad(F.substring(p[4], 1, 6), 6, "0")
+        real = _is_date(p[0]) & (p[1] < "24") & (p[2] < "60") & (p[3] < "60")
+        return F.when((F.size(p) == 6) & real, F.concat(
+            p[0], F.lit("T"), clock(p, 1), F.lit(":"), clock(p, 2), F.lit(":"), clock(p, 3),
+            F.when((p[4] != "") & (fraction != "000000"), F.concat(F.lit("."), fraction)).otherwise(""),
+            offset(p[5])))
+
+    return let(parts, lambda p: F.when(F.size(p) == 6, written(p)))
 
 
 def _as_day(text) -> Column:
     """A day written as a day, or the day of a moment."""
-    return F.coalesce(day_text(text),
-                      F.when(~strip(text).rlike(_DAY), F.substring(moment_text(text), 1, 10)))
+    return let(strip(text), lambda v: F.when(v.rlike(_DAY), F.when(_is_date(v), v))
+               .otherwise(F.substring(moment_text(v), 1, 10)))
 
 
 def date_text(value, datatype) -> Column:
@@ -86,20 +87,26 @@ def boolean_value(value) -> Column:
 
 def typed_literal(value, datatype) -> Column:
     """One literal in the column of its datatype's family; unread text stays text."""
-    value, local = as_column(value), local_datatype(datatype)
-    integer = (F.when(local.isin(INTEGER_TYPES), integer_value(value))
-               .when(local == "gYear", integer_value(F.substring(strip(value), 1, 4))))
-    double = F.when(local.isin(FLOAT_TYPES), float_value(value))
-    boolean = F.when(local == "boolean", boolean_value(value))
-    day = F.when(local == "date", _as_day(value))
-    moment = F.when(local.isin("dateTime", "dateTimeStamp"), moment_text(value))
-    family = (F.when(integer.isNotNull(), "integer").when(double.isNotNull(), "float")
-              .when(boolean.isNotNull(), "boolean").when(day.isNotNull(), "date")
-              .when(moment.isNotNull(), "datetime").otherwise("string"))
-    return F.struct(
-        family.alias("family"), integer.alias("integer"), double.alias("float"),
-        boolean.alias("boolean"), day.alias("date"), moment.alias("datetime"),
-        F.when(family == "string", value).alias("string"))
+    value = as_column(value)
+
+    def read(local):
+        return F.struct(
+            F.when(local.isin(INTEGER_TYPES), integer_value(value))
+            .when(local == "gYear", integer_value(F.substring(strip(value), 1, 4))).alias("integer"),
+            F.when(local.isin(FLOAT_TYPES), float_value(value)).alias("float"),
+            F.when(local == "boolean", boolean_value(value)).alias("boolean"),
+            F.when(local == "date", _as_day(value)).alias("date"),
+            F.when(local.isin("dateTime", "dateTimeStamp"), moment_text(value)).alias("datetime"))
+
+    def named(v):
+        family = F.lit("string")
+        for name in ("datetime", "date", "boolean", "float", "integer"):
+            family = F.when(v[name].isNotNull(), name).otherwise(family)
+        return F.struct(family.alias("family"), *[v[n].alias(n) for n in
+                                                  ("integer", "float", "boolean", "date", "datetime")],
+                        F.when(family == "string", value).alias("string"))
+
+    return let(let(local_datatype(datatype), read), named)
 
 
 def byte_size(text) -> Column:

@@ -11,7 +11,7 @@ from metaloom import schemas
 from metaloom.constants import (ENTITY_TYPES, LANGUAGES, OTHER_TYPES, RDF_TYPE, TYPE_PRIORITY,
                                 iri)
 from metaloom.functions import typed
-from metaloom.functions.text import fold_language
+from metaloom.functions.text import fold_language, let
 from metaloom.functions.uris import expand_curie, shorten_uri
 
 NODE_KINDS = ("uri", "bnode", "literal")
@@ -155,31 +155,29 @@ def date_of(nodes) -> Column:
     return first(F.filter(dates, lambda d: d.isNotNull()))
 
 
-def _first_literal(nodes):
-    return first(literals(nodes))
+def _first_typed(nodes, body):
+    """`body` of the first literal as typed, computed once."""
+    return let(first(literals(nodes)), lambda o: let(
+        typed.typed_literal(o["value"], o["datatype"]), lambda v: body(v, o["value"])))
 
 
 def integer_of(nodes) -> Column:
     """The first literal as a whole number; a boolean counts as 0 or 1."""
-    literal = _first_literal(nodes)
-    value = typed.typed_literal(literal["value"], literal["datatype"])
-    return (F.when(value["family"] == "boolean", value["boolean"].cast("bigint"))
-            .when(value["family"] == "integer", value["integer"])
-            .when(value["family"] == "string", typed.integer_value(literal["value"])))
+    return _first_typed(nodes, lambda v, text: (
+        F.when(v["family"] == "boolean", v["boolean"].cast("bigint"))
+        .when(v["family"] == "integer", v["integer"])
+        .when(v["family"] == "string", typed.integer_value(text))))
 
 
 def boolean_of(nodes) -> Column:
-    literal = _first_literal(nodes)
-    value = typed.typed_literal(literal["value"], literal["datatype"])
-    return (F.when(value["family"] == "boolean", value["boolean"])
-            .when(value["family"] == "string", typed.boolean_value(literal["value"])))
+    return _first_typed(nodes, lambda v, text: (
+        F.when(v["family"] == "boolean", v["boolean"])
+        .when(v["family"] == "string", typed.boolean_value(text))))
 
 
 def float_of(nodes) -> Column:
-    literal = _first_literal(nodes)
-    value = typed.typed_literal(literal["value"], literal["datatype"])
-    return F.coalesce(value["float"], value["integer"].cast("double"),
-                      value["boolean"].cast("int").cast("double"))
+    return _first_typed(nodes, lambda v, text: F.coalesce(
+        v["float"], v["integer"].cast("double"), v["boolean"].cast("int").cast("double")))
 
 
 def byte_size_of(nodes) -> Column:

@@ -144,8 +144,11 @@ def resolve_terms(records: DataFrame, keys, labels: DataFrame, fields) -> DataFr
         column = F.col(source)
         return column if source.endswith("_uris") else F.array(column)
 
-    parts = [F.transform(as_array(TERM_FIELDS[f]), lambda u, i, f=f: F.struct(
-        F.lit(f).alias("field"), i.alias("pos"), u.alias("uri"))) for f in fields]
+    def pieces_of(field):
+        return F.transform(as_array(TERM_FIELDS[field]), lambda u, i: F.struct(
+            F.lit(field).alias("field"), i.alias("pos"), u.alias("uri")))
+
+    parts = [pieces_of(f) for f in fields]
     pieces = F.filter(F.concat(*[F.coalesce(p, F.array().cast(
         "array<struct<field:string,pos:int,uri:string>>")) for p in parts]),
         lambda t: t["uri"].isNotNull())
