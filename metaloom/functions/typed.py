@@ -3,11 +3,10 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from metaloom.constants import FLOAT_TYPES, INTEGER_TYPES, XSD
+from metaloom.constants import FLOAT_TYPES, INTEGER_TYPES, MOMENT_TYPES, XSD
 from metaloom.functions.text import let, strip
 from metaloom.functions.uris import as_column
 
-_DAY = "^\\d{4}-\\d{2}-\\d{2}$"
 _MOMENT = ("^(\\d{4}-\\d{2}-\\d{2})(?:.(\\d{2})(?::?(\\d{2})(?::?(\\d{2})(?:[.,](\\d+))?)?)?"
            "(Z|[+-]\\d{2}(?::?\\d{2})?)?)?$")
 
@@ -16,12 +15,6 @@ def local_datatype(datatype) -> Column:
     return F.regexp_replace(datatype, "^" + XSD.replace(".", "\\."), "")
 
 
-def day_text(text) -> Column:
-    """An ISO day where the text is one, with a real calendar date."""
-    day = strip(text)
-    return F.when(day.rlike(_DAY) & _is_date(day), day)
-
-
 def _is_date(day) -> Column:
     return F.try_to_date(day, "yyyy-MM-dd").isNotNull()
 
@@ -53,20 +46,16 @@ def moment_text(text) -> Column:
     return let(parts, lambda p: F.when(F.size(p) == 6, written(p)))
 
 
-def _as_day(text) -> Column:
-    """A day written as a day, or the day of a moment."""
-    return let(strip(text), lambda v: F.when(v.rlike(_DAY), F.when(_is_date(v), v))
-               .otherwise(F.substring(moment_text(v), 1, 10)))
+def _day_of(moment) -> Column:
+    return F.substring(moment, 1, 10)
 
 
 def date_text(value, datatype) -> Column:
     """A literal as an ISO date or date-time string, or null. The datatype decides; without one
     that gives a date, a `T` in the text means a moment and anything else a day."""
-    value, local = as_column(value), local_datatype(datatype)
-    typed = (F.when(local == "date", _as_day(value))
-             .when(local.isin("dateTime", "dateTimeStamp"), moment_text(value)))
-    guessed = F.when(F.contains(value, F.lit("T")), moment_text(value)).otherwise(_as_day(value))
-    return F.coalesce(typed, guessed)
+    value, local = as_column(value), F.coalesce(local_datatype(datatype), F.lit(""))
+    whole = local.isin(MOMENT_TYPES) | ((local != "date") & F.contains(value, F.lit("T")))
+    return let(moment_text(value), lambda m: F.when(whole, m).otherwise(_day_of(m)))
 
 
 def integer_value(value) -> Column:
@@ -90,13 +79,19 @@ def typed_literal(value, datatype) -> Column:
     value = as_column(value)
 
     def read(local):
+        moment = F.when((local == "date") | local.isin(MOMENT_TYPES), moment_text(value))
         return F.struct(
             F.when(local.isin(INTEGER_TYPES), integer_value(value))
             .when(local == "gYear", integer_value(F.substring(strip(value), 1, 4))).alias("integer"),
             F.when(local.isin(FLOAT_TYPES), float_value(value)).alias("float"),
             F.when(local == "boolean", boolean_value(value)).alias("boolean"),
-            F.when(local == "date", _as_day(value)).alias("date"),
-            F.when(local.isin("dateTime", "dateTimeStamp"), moment_text(value)).alias("datetime"))
+            local.alias("local"), moment.alias("moment"))
+
+    def split(v):
+        dated = v["local"] == "date"
+        return F.struct(v["integer"].alias("integer"), v["float"].alias("float"), v["boolean"].alias("boolean"),
+                        F.when(dated, _day_of(v["moment"])).alias("date"),
+                        F.when(~dated, v["moment"]).alias("datetime"))
 
     def named(v):
         family = F.lit("string")
@@ -106,7 +101,7 @@ def typed_literal(value, datatype) -> Column:
                                                   ("integer", "float", "boolean", "date", "datetime")],
                         F.when(family == "string", value).alias("string"))
 
-    return let(let(local_datatype(datatype), read), named)
+    return let(let(let(local_datatype(datatype), read), split), named)
 
 
 def byte_size(text) -> Column:

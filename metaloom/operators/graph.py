@@ -13,6 +13,7 @@ from metaloom.constants import (ENTITY_TYPES, LANGUAGES, OTHER_TYPES, RDF_TYPE,
 from metaloom.functions import typed
 from metaloom.functions.text import fold_language, let
 from metaloom.functions.uris import expand_curie, shorten_uri
+from metaloom.operators.computed import computed
 
 NODE_KINDS = ("uri", "bnode", "literal")
 _NODES = "array<struct<type:string,value:string,lang:string,datatype:string>>"
@@ -202,8 +203,10 @@ def pivot_subject(node) -> Column:
 
 def subjects_of_type(graph, rdf_type) -> Column:
     """Subjects that carry the class, in order. The class may be a CURIE."""
-    wanted = rdf_type if isinstance(rdf_type, Column) else F.lit(rdf_type)
-    wanted = expand_curie(wanted)
+    if isinstance(rdf_type, Column):
+        wanted = expand_curie(rdf_type)
+    else:
+        wanted = F.lit(rdf_type if "://" in rdf_type else iri(rdf_type))
     return F.filter(F.map_keys(graph), lambda s: F.exists(
         objects(described(graph, s), RDF_TYPE), lambda o: o["value"] == wanted))
 
@@ -234,48 +237,37 @@ def entity_of_types(types) -> Column:
     return F.coalesce(*chosen)
 
 
-def envelope(info) -> dict:
-    """Columns read off the `info` graph of an entry."""
-    entry_uri = first(named_subjects(info))
-    node = described(info, entry_uri)
-    return {
-        "entry_uri": entry_uri,
-        "resource_uri": first_uri(objects(node, "es:resource")),
-        "created": date_of(objects(node, "dcterms:created")),
-        "harvested": date_of(objects(node, "dcterms:modified")),
-        "creator": first_uri(objects(node, "dcterms:creator")),
-        "entry_type": first_uri(objects(node, "rdf:type")),
-    }
-
-
 def with_envelope(entries: DataFrame) -> DataFrame:
-    """Adds the envelope's fields and whether a guest may read the entry."""
-    return entries.select(
-        "*", *[column.alias(name) for name, column in envelope(F.col("info")).items()],
-        F.array_contains(F.coalesce("rights", F.array().cast("array<string>")), "readmetadata")
-        .alias("is_public"))
+    """Adds the envelope's fields, read off the `info` graph, and whether a guest may read the
+    entry."""
+    found = computed(entries, entry_uri=first(named_subjects(F.col("info"))))
+    found = computed(found, _node=described(F.col("info"), F.col("entry_uri")))
+    node = F.col("_node")
+    return computed(
+        found,
+        resource_uri=first_uri(objects(node, "es:resource")),
+        created=date_of(objects(node, "dcterms:created")),
+        harvested=date_of(objects(node, "dcterms:modified")),
+        creator=first_uri(objects(node, "dcterms:creator")),
+        entry_type=first_uri(objects(node, "rdf:type")),
+        is_public=F.array_contains(F.coalesce("rights", F.array().cast("array<string>")),
+                                   "readmetadata")).drop("_node")
 
 
 def with_subject(entries: DataFrame, entity=None) -> DataFrame:
-    """Adds `subject`, its `node`, and the entry's `uri`. Needs `metadata` and `resource_uri`.
-
-    Each step is a projection of its own, so that the chosen subject is computed once."""
+    """Adds `subject`, its `node`, and the entry's `uri`. Needs `metadata` and `resource_uri`."""
     own = ENTITY_TYPES[entity] if entity else ()
     graph = F.coalesce("metadata", empty_graph())
-    found = (entries.withColumn("metadata", graph)
-             .withColumn("subject", main_subject(F.col("metadata"), F.col("resource_uri"), own)))
-    return (found
-            .withColumn("node", described(F.col("metadata"), F.col("subject")))
-            .withColumn("uri", F.coalesce(
-                "resource_uri",
-                F.when(~is_blank_node(F.col("subject")) & (F.col("subject") != ""),
-                       F.col("subject")))))
+    found = computed(entries, subject=main_subject(graph, F.col("resource_uri"), own))
+    named = ~is_blank_node(F.col("subject")) & (F.col("subject") != "")
+    return computed(found, node=described(F.col("metadata"), F.col("subject")),
+                    uri=F.coalesce("resource_uri", F.when(named, F.col("subject"))))
 
 
 def classify_entries(entries: DataFrame) -> DataFrame:
     """Adds `entity` from the classes of the entry's own subject."""
-    return with_subject(entries).withColumn(
-        "entity", entity_of_types(uris(objects(F.col("node"), RDF_TYPE))))
+    return computed(with_subject(entries),
+                    entity=entity_of_types(uris(objects(F.col("node"), RDF_TYPE))))
 
 
 # --- triples -----------------------------------------------------------------

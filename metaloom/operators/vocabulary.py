@@ -146,14 +146,14 @@ def resolve_terms(records: DataFrame, keys, labels: DataFrame, fields) -> DataFr
 
     def pieces_of(field):
         return F.transform(as_array(TERM_FIELDS[field]), lambda u, i: F.struct(
-            F.lit(field).alias("field"), i.alias("pos"), u.alias("uri")))
+            F.lit(field).alias("field"), i.alias("pos"), u.alias("term")))
 
     parts = [pieces_of(f) for f in fields]
     pieces = F.filter(F.concat(*[F.coalesce(p, F.array().cast(
-        "array<struct<field:string,pos:int,uri:string>>")) for p in parts]),
-        lambda t: t["uri"].isNotNull())
+        "array<struct<field:string,pos:int,term:string>>")) for p in parts]),
+        lambda t: t["term"].isNotNull())
     rows = records.select(*keys, F.explode(pieces).alias("t")).select(*keys, "t.*")
-    named = with_slug(rows, "uri", labels)
+    named = with_slug(rows, "term", labels)
     if "license" in fields:
         licence_label = slug_labels(labels).withColumnRenamed("label", "_label")
         named = named.withColumn("_licence", F.when(F.col("field") == "license", F.col("slug")))
@@ -162,7 +162,7 @@ def resolve_terms(records: DataFrame, keys, labels: DataFrame, fields) -> DataFr
     else:
         named = named.withColumn("_label", F.create_map().cast("map<string,string>"))
     terms = named.groupBy(*keys).agg(F.collect_list(
-        F.struct("field", "pos", "slug", F.col("_label").alias("label"), "uri")).alias("_terms"))
+        F.struct("field", "pos", "slug", F.col("_label").alias("label"))).alias("_terms"))
     joined = records.join(terms, list(keys), "left")
 
     def of(field):

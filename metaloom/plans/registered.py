@@ -4,7 +4,7 @@ import importlib
 
 from metaloom.plans.registry import ORACLES, QUERIES  # noqa: F401
 
-for _area in ("facets", "quality", "publishers", "assembly", "vocabulary", "graph"):
+for _area in ("facets", "quality", "publishers", "assembly", "vocabulary", "graph", "entities"):
     importlib.import_module(f"metaloom.plans.queries_{_area}")
 
 

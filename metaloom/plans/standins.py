@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from metaloom.constants import iri
 from metaloom.functions.quality import kind_of
 from metaloom.functions.text import fold_language
+from metaloom.operators.computed import computed
+from metaloom.operators.graph import parse_graph, with_envelope
 
 _NODE = "struct<type:string,value:string,lang:string,datatype:string>"
 TEXT = "string"
@@ -161,7 +163,7 @@ class Tables:
 
 def literal(value, lang=None, datatype=None):
     return F.struct(F.lit("literal").alias("type"), value.cast("string").alias("value"),
-                    (none() if lang is None else lang).alias("lang"),
+                    (F.lit(lang).cast("string") if lang is None or isinstance(lang, str) else lang).alias("lang"),
                     (none() if datatype is None else F.lit(datatype)).alias("datatype"))
 
 
@@ -186,19 +188,20 @@ def graph_text(subjects):
 def entries_of(rows: DataFrame, entry_id, metadata, resource=None, context="ctx", rights=None,
                modified=None, extra=()) -> DataFrame:
     """Entries whose graphs went through RDF/JSON text and back, as from a registry page."""
-    from metaloom.operators.graph import parse_graph, with_envelope
     entry_uri = F.concat(F.lit("https://registry.example.org/entry/"), entry_id.cast("string"))
     told = {"rdf:type": [reference(F.lit(iri("es:Link")))]}
     if resource is not None:
         told["es:resource"] = [reference(resource)]
     if modified is not None:
         told["dcterms:modified"] = [literal(modified, datatype=iri("xsd:dateTime"))]
-    texts = rows.select(
+    # One small file is one task; parsing text is worth spreading over the cores there are.
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    texts = rows.repartition(cores, entry_id).select(
         (F.lit(context) if isinstance(context, str) else context).alias("context_id"),
         entry_id.cast("string").alias("entry_id"), *extra,
         (F.array(F.lit("readmetadata")) if rights is None else rights).alias("rights"),
         metadata.alias("_metadata_text"), graph_text([(entry_uri, told)]).alias("_info_text"))
-    parsed = texts.select("*", parse_graph(F.col("_metadata_text")).alias("metadata"),
-                          parse_graph(F.col("_info_text")).alias("info")).drop(
-        "_metadata_text", "_info_text")
-    return with_envelope(parsed)
+    texts = computed(texts, _metadata_text=F.col("_metadata_text"), _info_text=F.col("_info_text"))
+    parsed = computed(texts, metadata=parse_graph(F.col("_metadata_text")),
+                      info=parse_graph(F.col("_info_text")))
+    return with_envelope(parsed.drop("_metadata_text", "_info_text"))

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from metaloom import schemas
 from metaloom.functions.text import nullif_empty
+from metaloom.operators.computed import computed
 from metaloom.operators.graph import empty_graph, first, objects, parse_graph
 
 
@@ -14,11 +15,11 @@ def entries_of_pages(pages: DataFrame) -> DataFrame:
     children = pages.select(F.col("file"), F.posexplode("resource.children").alias("pos", "e"))
     graphs = {name: F.coalesce(parse_graph(F.col(f"e.{name}")), empty_graph())
               for name in ("metadata", "info", "relations")}
-    return children.select(
+    rows = children.select(
         F.col("e.contextId").alias("context_id"), F.col("e.entryId").alias("entry_id"),
         F.coalesce("e.rights", F.array().cast("array<string>")).alias("rights"),
-        *[g.alias(n) for n, g in graphs.items()],
-        F.struct(F.col("file").alias("file"), F.col("pos").alias("pos")).alias("ord"))
+        F.struct(F.col("file").alias("file"), F.col("pos").alias("pos")).alias("ord"), "e")
+    return computed(rows, **graphs).drop("e")
 
 
 def read_entries(spark: SparkSession, path) -> DataFrame:
