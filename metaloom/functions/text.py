@@ -10,6 +10,7 @@ from metaloom.constants import LANGUAGES
 from metaloom.functions.literals import literal_map
 from metaloom.functions.uris import as_column
 
+BEYOND_ASCII = "[^\\x00-\\x7f]"
 _EDGE = "[\\s\\x1c-\\x1f]+"
 
 
@@ -22,11 +23,36 @@ def is_blank(text) -> Column:
     return F.coalesce(strip(text) == "", F.lit(True))
 
 
+def let(value, body) -> Column:
+    """`body` of a value that is computed once, however often `body` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+@cache
+def _foldings():
+    """(one-to-one, one-to-many) characters whose caseless form is not their lower case, made
+    from the Unicode database."""
+    single, several = {}, {}
+    for point in range(0x80, 0x110000):
+        char = chr(point)
+        if not 0xD800 <= point < 0xE000 and char.casefold() != char.lower():
+            (single if len(char.casefold()) == 1 else several)[char] = char.casefold()
+    return single, several
+
+
+def _unfolded(text, several) -> Column:
+    """Characters that stand for several, spelled out; only those the text holds are looked at."""
+    held = F.filter(F.map_entries(literal_map(several)), lambda e: F.contains(text, e["key"]))
+    return F.aggregate(held, text, lambda done, e: F.replace(done, e["key"], e["value"]))
+
+
 def casefold(text) -> Column:
-    """Caseless form. Upper then lower case expands sharp s and ligatures; the dotless i is kept
-    apart through a private-use character, and a final sigma is an ordinary one."""
-    kept = F.translate(text, "\u0131", "\ue000")
-    return F.translate(F.lower(F.upper(kept)), "\u03c2\ue000", "\u03c3\u0131")
+    """Caseless form: lower case, with sharp s, ligatures and the final sigma folded too."""
+    text = as_column(text)
+    single, several = _foldings()
+    folded = F.translate(F.lower(text), "".join(single), "".join(single.values()))
+    return (F.when(~text.rlike(BEYOND_ASCII), F.lower(text))
+            .otherwise(let(folded, lambda f: _unfolded(f, several))))
 
 
 def fold_keyword(text) -> Column:
@@ -51,16 +77,13 @@ def _decompositions():
             continue
         parts = "".join(c for c in unicodedata.normalize("NFKD", char)
                         if not unicodedata.combining(c))
-        if parts != char and any(c.isascii() for c in parts):
+        if not parts:  # marks alone
+            combining.append(char)
+        elif parts != char and any(c.isascii() for c in parts):
             (single if len(parts) == 1 else several)[char] = parts
     return single, several, combining
 
 
-def let(value, body) -> Column:
-    """`body` of a value that is computed once, however often `body` names it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def strip_accents(text) -> Column:
     """Text with accents and other combining marks removed, compatibility forms unfolded.
 
@@ -70,17 +93,12 @@ def strip_accents(text) -> Column:
     """
     text = F.coalesce(as_column(text), F.lit(""))
     single, several, combining = _decompositions()
-    beyond_ascii = "[^\\x00-\\x7f]"
-
-    def unfold(bare):
-        held = F.filter(F.map_entries(literal_map(several)), lambda e: F.contains(bare, e["key"]))
-        return F.aggregate(held, bare, lambda done, e: F.replace(done, e["key"], e["value"]))
 
     def rest(bare):
-        return F.when(~bare.rlike(beyond_ascii), bare).otherwise(unfold(bare))
+        return F.when(~bare.rlike(BEYOND_ASCII), bare).otherwise(_unfolded(bare, several))
 
     bare = F.translate(text, "".join([*single, *combining]), "".join(single.values()))
-    return F.when(~text.rlike(beyond_ascii), text).otherwise(let(bare, rest))
+    return F.when(~text.rlike(BEYOND_ASCII), text).otherwise(let(bare, rest))
 
 
 def slugify(text) -> Column:

@@ -22,9 +22,9 @@ FILTERS = {"dataset": [*DATASET_FILTERS, "modified_after", "query"],
 class Result:
     """What one search found: a page, and the total and facets over every match."""
 
-    def __init__(self, matches: DataFrame, facets: DataFrame, limit, offset, facet_limit):
+    def __init__(self, matches: DataFrame, counted: DataFrame, label, limit, offset, facet_limit):
         self.matches, self.limit, self.offset = matches, limit, offset
-        self._facets, self._facet_limit = facets, facet_limit
+        self._counted, self._label, self._facet_limit = counted, label, facet_limit
 
     @property
     def rows(self) -> DataFrame:
@@ -36,15 +36,17 @@ class Result:
 
     @property
     def facets(self) -> DataFrame:
-        """`(facet, value, count)`, with `rank` where a limit was asked for."""
-        return (self._facets if self._facet_limit is None
-                else fc.limited(self._facets, self._facet_limit))
+        """`(facet, value, count, label)`, with `rank` where a limit was asked for. What a limit
+        cuts is not labelled first."""
+        shown = (self._counted if self._facet_limit is None
+                 else fc.limited(self._counted, self._facet_limit))
+        return self._label(shown)
 
     @property
     def omitted(self) -> DataFrame:
         limit = self._facet_limit
-        return (fc.omitted(self._facets, limit) if limit is not None
-                else self._facets.select("facet", F.lit(0).alias("omitted")).limit(0))
+        return (fc.omitted(self._counted, limit) if limit is not None
+                else self._counted.select("facet", F.lit(0).alias("omitted")).limit(0))
 
 
 class Catalogue:
@@ -112,12 +114,13 @@ class Catalogue:
                 raise self._unknown("keyword", row["known"], observed)
         return known
 
-    def condition(self, kind="dataset", **filters):
+    def condition(self, record_type="dataset", **filters):
         """One column that is true for the records all filters match."""
         parts = []
         for name, value in filters.items():
-            if name not in FILTERS[kind]:
-                raise QueryError(f"{kind} records have no {name!r}; available: {', '.join(FILTERS[kind])}")
+            if name not in FILTERS[record_type]:
+                raise QueryError(f"{record_type} records have no {name!r}; "
+                                 f"available: {', '.join(FILTERS[record_type])}")
             if name == "modified_after":
                 parts.append(fl.modified_after(value))
                 continue
@@ -133,24 +136,25 @@ class Catalogue:
             elif name == "access_rights":
                 unset = [v for v in values if v.strip().lower() == "none"]
                 named = [v for v in values if v not in unset]
-                slugs = self._slugs(name, named, kind) if named else []
+                slugs = self._slugs(name, named, record_type) if named else []
                 parts.append(fl.access_rights_filter(slugs + ["none"] * bool(unset)))
             else:
-                parts.append(fl.facet_filter(name, self._slugs(name, values, kind)))
+                parts.append(fl.facet_filter(name, self._slugs(name, values, record_type)))
         return fl.all_of(*parts)
 
     # -- asking -------------------------------------------------------------------
 
-    def search(self, query=None, kind="dataset", limit=None, offset=0, facet_limit=None, **filters):
+    def search(self, query=None, record_type="dataset", limit=None, offset=0, facet_limit=None, **filters):
         check_window(limit, offset)
         if query is not None:
             filters["query"] = query
-        records = self.services if kind == "data_service" else self.datasets
-        names = DATA_SERVICE_FILTERS if kind == "data_service" else DATASET_FILTERS
-        matches = records.filter(self.condition(kind, **filters))
+        records = self.services if record_type == "data_service" else self.datasets
+        names = DATA_SERVICE_FILTERS if record_type == "data_service" else DATASET_FILTERS
+        matches = records.filter(self.condition(record_type, **filters))
         counted = fc.facet_counts(matches, names)
         names_of = self.representatives.select("id", F.col("agent.name").alias("name"))
-        return Result(matches, fc.labelled(counted, self.labels, names_of), limit, offset, facet_limit)
+        return Result(matches, counted, lambda rows: fc.labelled(rows, self.labels, names_of),
+                      limit, offset, facet_limit)
 
     def facets(self, limit=None) -> DataFrame:
         return self.search(limit=0, facet_limit=limit).facets
@@ -161,11 +165,11 @@ class Catalogue:
 
     def publishers(self, **filters) -> DataFrame:
         """Every publisher with something that matches, biggest first."""
-        def matching(records, kind):
+        def matching(records, record_type):
             for name in filters:
                 if name not in PUBLISHER_FILTERS:
                     raise QueryError(f"publishers have no {name!r}")
-            return records.filter(self.condition(kind, **filters)) if filters else records
+            return records.filter(self.condition(record_type, **filters)) if filters else records
 
         counted = publishers.counts(matching(self.datasets, "dataset"),
                                     matching(self.services, "data_service"))

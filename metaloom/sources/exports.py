@@ -33,7 +33,8 @@ def result_document(window: DataFrame, facets: DataFrame, omitted: DataFrame, to
     an unpaged result write `to_json` of each part instead.
     """
     rows = window.agg(F.collect_list(F.struct("*")).alias("datasets"))
-    values = F.transform(F.array_sort(F.collect_list(F.struct("rank", "value", "count", "label"))),
+    values = F.transform(F.array_sort(F.collect_list(F.struct("rank", "value", "count", "label")),
+                                       lambda a, b: a["rank"] - b["rank"]),
                          lambda v: F.struct(v["value"].alias("value"), v["count"].alias("count"),
                                             v["label"].alias("label")))
     by_facet = facets.groupBy("facet").agg(values.alias("values"))
