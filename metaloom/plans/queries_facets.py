@@ -393,8 +393,8 @@ def page_order(t):
 SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'P'
        THEN strftime(o_orderdate, '%Y-%m-%d') || 'T12:00:00+02:00'
        ELSE strftime(o_orderdate, '%Y-%m-%d') END AS stamp
-FROM orders ORDER BY stamp DESC, id LIMIT 40""")
+FROM orders ORDER BY stamp DESC, id""")
 def newest_first(t):
     rows = t.order_records.withColumn("id", F.col("entry_id").cast("bigint"))
-    return windows.newest_first(rows, "id").limit(40).select(
+    return windows.newest_first(rows, "id").select(
         "id", F.coalesce("modified", "issued").alias("stamp"))

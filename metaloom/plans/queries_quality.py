@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from metaloom.functions import quality, text, typed, uris
 from metaloom.operators import links
+from metaloom.operators.computed import computed
 from metaloom.operators.publishers import with_publisher_id
 from metaloom.plans.registry import query, sql_slug
 from metaloom.plans.standins import none
@@ -274,7 +275,7 @@ def probes(t):
     verdict = quality.probe_verdict(
         F.col("url"), F.col("head"), F.col("get"), F.col("final"), F.col("baseline"), F.col("error"),
         F.col("host_known"), F.col("second_head"), F.col("second_get"))
-    return (rows.withColumn("v", verdict)
+    return (computed(rows, v=verdict)
             .select("event_id", "url", uris.host_of("url").alias("host"), F.col("event_id").alias("seq"), "v.*"))
 
 

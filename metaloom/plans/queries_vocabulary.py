@@ -223,11 +223,12 @@ def known_publishers(t):
 
 @query("alias_collisions", """
 SELECT 'shared' AS alias, count(*) AS claims, FALSE AS taken FROM nation WHERE n_regionkey = 0
-UNION ALL SELECT 'nation_3', count(*), TRUE FROM supplier WHERE s_suppkey = 3""")
+UNION ALL SELECT 'nation_' || s_nationkey, count(*), TRUE FROM supplier GROUP BY ALL""")
 def alias_collisions(t):
     """An alias several claim, and one that is somebody's id."""
-    thief = t.supplier.filter(F.col("s_suppkey") == 3).select(
-        F.lower("s_name").alias("id"), F.lit("urn:s").alias("uri"), F.lit("Nation 3").alias("alias"),
+    thief = t.supplier.select(
+        F.lower("s_name").alias("id"), F.lit("urn:s").alias("uri"),
+        F.concat(F.lit("Nation "), "s_nationkey").alias("alias"),
         F.lit(None).cast("string").alias("org_no"))
     return vocabulary.publisher_aliases(nation_publishers(t).unionByName(thief))[1]
 
