@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from metaloom.constants import iri
 from metaloom.operators import entities
 from metaloom.operators.entities import project
-from metaloom.operators.graph import described, with_subject
+from metaloom.operators.graph import with_subject
 from metaloom.plans import build
-from metaloom.plans.queries_vocabulary import SQL_TYPES, part_uri
+from metaloom.plans.queries_vocabulary import SQL_TYPES
 from metaloom.plans.queries_facets import type_labels
 from metaloom.plans.registry import query
 from metaloom.plans.standins import entries_of, graph_text, literal, reference
@@ -65,7 +65,7 @@ def order_entries(t):
 
 @query("dataset_record", """
 SELECT o_orderkey AS id, 'urn:order:' || o_orderkey AS uri, 'Beställning ' || o_orderkey AS title_sv, 'Order ' || o_orderkey AS title_en,
-       NULL AS description_sv, o_orderpriority AS description_en, o_orderstatus AS keyword_sv,
+       CAST(NULL AS VARCHAR) AS description_sv, o_orderpriority AS description_en, o_orderstatus AS keyword_sv,
        CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey AS VARCHAR) ELSE 'urn:id:' || o_orderkey END AS identifier,
        'urn:agent:' || o_custkey AS publisher_uri, 2 AS themes,
        CASE WHEN o_orderstatus <> 'O' THEN 'http://ar.example.org/' || o_orderpriority END AS access_rights_uri,
@@ -97,7 +97,7 @@ def period_record(t):
 SELECT o_orderkey AS id, CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS contacts,
        CASE WHEN o_orderpriority = '1-URGENT' THEN 'Desk ' || o_custkey END AS name,
        CASE WHEN o_orderpriority = '1-URGENT' THEN 'desk@' || o_custkey || '.example.org' END AS email,
-       NULL AS uri FROM orders""")
+       CAST(NULL AS VARCHAR) AS uri FROM orders""")
 def contact_record(t):
     rows = project(order_entries(t), "dataset").withColumn("c", F.try_element_at("contact_points", F.lit(1)))
     return rows.select(identity(), F.size("contact_points").alias("contacts"), "c.name", "c.email", "c.uri")

@@ -70,7 +70,7 @@ def triples_count(t):
 
 
 @query("graph_merge", """
-SELECT n_nationkey AS id, 'a,b' || CASE WHEN n_regionkey > 2 THEN ',c' ELSE '' END AS themes,
+SELECT CAST(n_nationkey AS BIGINT) AS id, 'a,b' || CASE WHEN n_regionkey > 2 THEN ',c' ELSE '' END AS themes,
        CASE WHEN n_regionkey > 2 THEN n_name ELSE NULL END AS title FROM nation""")
 def graph_merge(t):
     """Two graphs of one subject that share a triple."""
