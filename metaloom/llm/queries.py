@@ -1,8 +1,6 @@
 """The registered queries of the operators, and SQL where it can say the same."""
 
-from pyspark.sql import functions as F
-
-from metaloom.llm import exact_dedup, line_dedup, mixing
+from metaloom.llm import exact_dedup, extraction, line_dedup, mixing, warc
 from metaloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -17,6 +15,12 @@ def query(sql=None):
     return register
 
 
+@query()
+def op1_html_extraction(spark, folder):
+    """The main text of every page."""
+    return extraction.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query(r"""
 WITH lines AS (
   SELECT doc_id, coalesce(source, chr(1)) AS site, unnest(string_split(text, chr(10))) AS line,
@@ -51,3 +55,10 @@ FROM t JOIN g USING (s)""")
 def op9_exact_dedup(spark, folder):
     """Groups of equal texts over all documents."""
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op10_warc(spark, folder):
+    """Archives every page and reads the archives back."""
+    archives, index = warc.write(table(spark, folder, "pages"))
+    return warc.read(archives, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
