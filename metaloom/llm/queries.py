@@ -1,6 +1,6 @@
 """The registered queries of the operators, and SQL where it can say the same."""
 
-from metaloom.llm import exact_dedup, extraction, line_dedup, mixing, warc
+from metaloom.llm import exact_dedup, extraction, line_dedup, mixing, packing, warc
 from metaloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -40,6 +40,14 @@ def op2_line_dedup(spark, folder):
     return found.select("doc_id", "text", "lines_removed")
 
 
+@query()
+def op5_packing(spark, folder):
+    """Every document's pieces and their places in sequences of 4096 tokens."""
+    from public_tokenizers import path
+
+    return packing.pack(table(spark, folder, "documents"), path("word_bpe_49k.json"))
+
+
 @query()
 def op6_mixing(spark, folder):
     """What the mix takes of every document."""

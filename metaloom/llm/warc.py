@@ -40,7 +40,13 @@ def _record_id(page_id, digest):
 
 
 def _whole(value):
-    return None if pd.isna(value) else int(value)
+    return None if value is None else int(value)
+
+
+def _frame(rows, names):
+    """Whole numbers stay exact beside nulls."""
+    frame = pd.DataFrame(rows, columns=names, dtype=object)
+    return frame.astype({c: "Int64" for c in ("page_id", "refers_to", "payload_bytes", "offset", "length") if c in names})
 
 
 def _member(fields, block):
@@ -92,8 +98,7 @@ def _writer(folder, date):
                     rows.append((page, url, kind, refers, digest, path, at, len(member)))
                     at += len(member)
                 names = [c.split()[0] for c in INDEX.split(", ")]
-                frame = pd.DataFrame(rows, columns=names)
-                yield frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+                yield _frame(rows, names)
         finally:
             if out is not None:
                 out.close()
@@ -121,6 +126,8 @@ def write(pages: DataFrame, id_col="page_id", html_col="html", min_bytes=0, date
     """Archives all pages; (folder of the archives, index table)."""
     folder = shared_path(pages.sparkSession, "warc")
     rows = with_types(pages, id_col, html_col, min_bytes)
+    # Ids travel as text, since pandas has no exact whole numbers beside nulls.
+    rows = rows.withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")})
     return folder, stored(rows.mapInPandas(_writer(folder, date), INDEX), "warc-index")
 
 
@@ -162,19 +169,18 @@ def _reader(folder, payloads):
                                 held[offsets[i] - base:offsets[i] - base + lengths[i]], 31))
                             rows.append(_read_row(fields, block, urls[i], payloads))
             names = [c.split()[0] for c in RECORD.split(", ")] + (["payload"] if payloads else [])
-            frame = pd.DataFrame(rows, columns=names)
-            yield frame.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64"})
+            yield _frame(rows, names)
     return read
 
 
 def _read_row(fields, block, url, payloads):
     head, _, payload = block.partition(b"\r\n\r\n")
     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    kind, page, refers = fields["WARC-Type"], fields["X-Page-Id"], fields.get("X-Refers-To-Page-Id")
+    kind, page, refers = fields["WARC-Type"], fields.get("X-Page-Id"), fields.get("X-Refers-To-Page-Id")
     size = int(re.search(rb"(?i)content-length: (\d+)", head)[1])
     if kind == "response" and (len(payload) != size or _digest(payload) != digest):
         raise ValueError(f"the payload of page {page} is not the one archived")
-    row = (None if page == "None" else int(page), url, kind, None if refers is None else int(refers), size, digest)
+    row = (None if page is None else int(page), url, kind, None if refers is None else int(refers), size, digest)
     return (*row, payload if kind == "response" else None) if payloads else row
 
 
