@@ -1,6 +1,8 @@
 """The registered queries of the operators, and SQL where it can say the same."""
 
-from metaloom.llm import exact_dedup, extraction, line_dedup, mixing, packing, warc
+from pyspark.sql import functions as F
+
+from metaloom.llm import exact_dedup, extraction, line_dedup, mixing, packing, toxicity, warc
 from metaloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -55,6 +57,15 @@ def op6_mixing(spark, folder):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query()
+def op8_toxicity(spark, folder):
+    """Every document's toxicity, learned from two thirds of the labels."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    held_out = F.coalesce(~toxicity.learns_from("doc_id"), F.lit(False))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query(r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS s FROM documents),
 g AS (SELECT s, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY s)
