@@ -23,9 +23,9 @@ POSITIVES, UNLABELLED = 4_000, 12_000
 # Candidate features taken from the positives, and features of the model.
 CANDIDATES, FEATURES = 50_000, 2_048
 # What a feature must weigh against chance; rare coincidences stay below it.
-MERIT = 5.0
+MERIT = 4.0
 THRESHOLD = 0.7
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 STEPS, RATE, DECAY = 400, 0.1, 1e-4
 # Words a worker remembers to have looked up.
 KNOWN_WORDS = 400_000
@@ -43,6 +43,15 @@ def features(word):
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) > n)]
 
 
+def text_features(found, wanted=None):
+    """Features of a set of words; a beginning shared by two, or by four, of them counts further.
+
+    `wanted` narrows the features of single words.
+    """
+    held = Counter(f for w in found for f in features(w) if wanted is None or f in wanted)
+    return {*held, *(f + "2" for f, n in held.items() if n >= 2), *(f + "4" for f, n in held.items() if n >= 4)}
+
+
 @dataclass
 class Model:
     bias: float = -50.0
@@ -54,7 +63,8 @@ class Scorer:
 
     def __init__(self, model):
         self.model = model
-        self.seen, self.carrying = set(), {}
+        self.single = {re.sub(r"\*[24]$", "*", f) for f in model.weights}
+        self.seen, self.carrying = set(), set()
 
     def score(self, text):
         found = words(text)
@@ -62,13 +72,10 @@ class Scorer:
         if fresh:
             if len(self.seen) > KNOWN_WORDS:
                 self.seen = set(self.carrying)
-            for w in fresh:
-                held = [f for f in features(w) if f in self.model.weights]
-                if held:
-                    self.carrying[w] = held
+            self.carrying.update(w for w in fresh if not self.single.isdisjoint(features(w)))
             self.seen |= fresh
-        held = {f for w in found & self.carrying.keys() for f in self.carrying[w]}
-        z = self.model.bias + sum(self.model.weights[f] for f in sorted(held))
+        held = text_features(found & self.carrying, self.single)
+        z = self.model.bias + sum(self.model.weights[f] for f in sorted(held) if f in self.model.weights)
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
@@ -168,7 +175,7 @@ def _counted(wanted):
         total = Counter()
         for batch in batches:
             for text in batch["text"]:
-                held = {f for w in words(text) for f in features(w)}
+                held = text_features(words(text))
                 total.update(held if wanted is None else held & wanted)
         yield pd.DataFrame({"feature": list(total), "n": list(total.values())}, columns=["feature", "n"]).astype({"n": "int64", "feature": "object"})
     return counted
@@ -177,7 +184,7 @@ def _counted(wanted):
 def _numbered(number):
     def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            held = [sorted({number[f] for w in words(t) for f in features(w) if f in number}) for t in batch["text"]]
+            held = [sorted(number[f] for f in text_features(words(t)) if f in number) for t in batch["text"]]
             yield pd.DataFrame({"p": batch["p"], "u": batch["u"], "held": held})
     return numbered
 
