@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from metaloom.llm import exact_dedup, extraction, line_dedup, mixing, packing, toxicity, warc
+from metaloom.llm import exact_dedup, extraction, line_dedup, mixing, packing, superminhash, toxicity, warc
 from metaloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -57,6 +57,12 @@ def op6_mixing(spark, folder):
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query()
+def op7_superminhash(spark, folder):
+    """Near-duplicates of all documents by shingles of four words."""
+    return superminhash.near_duplicates(table(spark, folder, "documents"), words=4)
+
+
 @query()
 def op8_toxicity(spark, folder):
     """Every document's toxicity, learned from two thirds of the labels."""
