@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from metaloom.llm import exact_dedup, extraction, line_dedup, mixing, packing, superminhash, toxicity, warc
+from metaloom.llm import exact_dedup, extraction, line_dedup, mixing, packing, projections, superminhash, toxicity, warc
 from metaloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -42,6 +42,12 @@ def op2_line_dedup(spark, folder):
     return found.select("doc_id", "text", "lines_removed")
 
 
+@query()
+def op4_projections(spark, folder):
+    """Near-duplicates of all embeddings within their labels."""
+    return projections.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query()
 def op5_packing(spark, folder):
     """Every document's pieces and their places in sequences of 4096 tokens."""
