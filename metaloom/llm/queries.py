@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from metaloom.llm import exact_dedup, extraction, line_dedup, mixing, packing, projections, superminhash, toxicity, warc
+from metaloom.llm import backoff, exact_dedup, extraction, line_dedup, mixing, packing, projections, superminhash, toxicity, warc
 from metaloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -42,6 +42,13 @@ def op2_line_dedup(spark, folder):
     return found.select("doc_id", "text", "lines_removed")
 
 
+@query()
+def op3_backoff(spark, folder):
+    """Log-probabilities of all documents; a seventh of them is held out of training."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return backoff.score(table(spark, folder, "documents"), held_out)
+
+
 @query()
 def op4_projections(spark, folder):
     """Near-duplicates of all embeddings within their labels."""
