@@ -24,12 +24,13 @@ class Index:
     """Where the bucket files are, and the directory: (first slot, last slot, bucket, local depth)."""
 
     path: str
+    schema: object
     depth: int
     slots: list
 
     def entries(self, spark: SparkSession) -> DataFrame:
         """bucket, key, digest, link (place in the chain of its key), variant, keep_id, group_size."""
-        return spark.read.parquet(self.path)
+        return spark.read.schema(self.schema).parquet(self.path)
 
     def lookup(self, rows: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
         """Which rows' texts are in the index already: id, keep_id (null if the text is new)."""
@@ -102,7 +103,7 @@ def build(rows: DataFrame, id_col="doc_id", text_col="text", capacity=200_000) -
               .withColumn("variant", F.row_number().over(variant)).drop("s"))
     path = shared_path(spark, "exact-index")
     placed.sortWithinPartitions("bucket", "key", "link").write.partitionBy("bucket").parquet(path)
-    return Index(path, depth, slots)
+    return Index(path, placed.schema, depth, slots)
 
 
 def exact_duplicates(rows: DataFrame, id_col="doc_id", text_col="text", capacity=200_000) -> DataFrame:
