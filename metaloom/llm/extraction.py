@@ -134,7 +134,7 @@ def lines_of(page):
         if kind == "text":
             if hidden_until < 0:
                 piece.append(rest)
-                linked += len(rest) if links else 0
+                linked += len(entities.unescape(rest)) if links else 0
             continue
         if tag == "a":
             links = 1 if kind == "open" else 0

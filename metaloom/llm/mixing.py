@@ -6,6 +6,8 @@ source's blocks to its shards in the same way. Inside a shard the documents stan
 a ring of words; whole turns of the ring and one run of blocks from a seeded start are taken.
 """
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -43,19 +45,21 @@ def apportion(weights, seats):
     got = np.zeros(len(weights), dtype=np.int64)
     if seats <= 0 or weights.sum() <= 0:
         return got
-    low, high = 0.0, 2.0 * (seats + len(weights)) / weights[weights > 0].min() if len(weights) else 0.0
-    high = min(high, 4.0 * (seats + len(weights)) / weights.max())
-    for _ in range(200):  # the largest multiplier that gives at most `seats`
+    low, high = 0.0, 2.0 * (seats + len(weights)) / weights.max()
+    for _ in range(200):  # close to the largest multiplier that gives at most `seats`
         middle = (low + high) / 2
         if np.floor(weights * middle + 0.5).sum() <= seats:
             low = middle
         else:
             high = middle
-    got = np.floor(weights * low + 0.5).astype(np.int64)
-    while (left := seats - int(got.sum())) > 0:  # what is left lies at one tied quotient
-        quotient = weights / (2 * got + 1)
-        for i in np.argsort(-quotient, kind="stable")[:left]:
-            got[i] += 1
+    # A little below it, so that ties stay open; the few seats left go out one by one.
+    got = np.floor(weights * low * (1 - 1e-9) + 0.5).astype(np.int64)
+    queue = [(-q, i) for i, q in enumerate(weights / (2 * got + 1))]
+    heapq.heapify(queue)
+    for _ in range(seats - int(got.sum())):
+        _, i = queue[0]
+        got[i] += 1
+        heapq.heapreplace(queue, (-weights[i] / (2 * got[i] + 1), i))
     return got
 
 
