@@ -8,6 +8,7 @@ rounds each island's elite moves to the next island. A shard stops as soon as it
 tokens need. Badly filled bins of all shards are dealt once more.
 """
 
+import gc
 import re
 import zlib
 from collections.abc import Iterator
@@ -68,26 +69,39 @@ class WordTokenizer:
         self.ids, self.first, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _plain_ids(self, word):
-        ids = []
-        for piece in _SPLIT.findall(word.lower()):
-            known = self.pieces.get(piece)
-            if known is None:
-                if len(self.pieces) > KNOWN_PIECES:
-                    self.pieces.clear()
-                shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTES)
-                known = self.pieces[piece] = [t.id for t in self.whole.model.tokenize(shown)]
-            ids += known
-        return ids
+        return [i for piece in _SPLIT.findall(word.lower()) for i in self._piece_ids(piece)]
+
+    def _piece_ids(self, piece):
+        known = self.pieces.get(piece)
+        if known is None:
+            if len(self.pieces) > KNOWN_PIECES:
+                self.pieces.clear()
+            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTES)
+            known = self.pieces[piece] = tuple([t.id for t in self.whole.model.tokenize(shown)])
+        return known
 
     def learn(self, words):
         """Encodes new words, plain ones by themselves and others many to a call, cut up by their places."""
-        plain = [w for w in words if _PLAIN(w)] if self.plain else []
-        other = [w for w in words if not _PLAIN(w)] if self.plain else words
-        flat, sizes = [], []
-        for w in plain:
-            ids = self._plain_ids(w)
-            flat += ids
-            sizes.append(len(ids))
+        collecting = gc.isenabled()
+        gc.disable()  # very many small objects come to stay
+        try:
+            self._learn(words)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _learn(self, words):
+        plain, other, flat, sizes = [], [], [], []
+        known, split = self.pieces.get, _SPLIT.findall
+        for w in words:
+            if not self.plain or not _PLAIN(w):
+                other.append(w)
+                continue
+            plain.append(w)
+            before = len(flat)
+            for piece in split(w.lower()):
+                flat += known(piece) or self._piece_ids(piece)
+            sizes.append(len(flat) - before)
         ids, counts = [self.ids, np.array(flat, np.uint32)], [self.count, np.array(sizes, np.int64)]
         for i in range(0, len(other), 256):
             part = other[i:i + 256]
@@ -96,8 +110,7 @@ class WordTokenizer:
             edges = np.cumsum([0] + [len(w) + 1 for w in part])
             ids.append(np.array(found.ids, dtype=np.uint32))
             counts.append(np.diff(np.searchsorted(starts, edges)))
-        for w in (*plain, *other):
-            self.place[w] = len(self.place)
+        self.place.update(zip(plain + other, range(len(self.place), len(self.place) + len(words))))
         self.ids, self.count = np.concatenate(ids), np.concatenate(counts)
         self.first = np.cumsum(self.count) - self.count
 
