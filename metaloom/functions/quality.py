@@ -118,7 +118,7 @@ def probe_verdict(url, head_status, get_status, head_final, baseline_final, erro
                       verdict("unverified", F.lit("timeout"), no, False))
                 .when(failed & ~F.coalesce(host_known, F.lit(True)),
                       verdict("dead", F.lit("host not found"), no, None))
-                .when(failed, verdict("unverified", F.substring(error, 1, 200), no, False))
+                .when(failed, verdict("unverified", error, no, False))
                 .when(status == 429, verdict("unverified", F.lit(TOO_MANY_REQUESTS), no, True))
                 .when(status.isin(GONE), verdict("dead", status_phrase(status), cert, True))
                 .when(status >= 400, verdict("unverified", status_phrase(status), cert, True))

@@ -12,6 +12,9 @@ from metaloom.functions.uris import as_column
 
 BEYOND_ASCII = "[^\\x00-\\x7f]"
 _EDGE = "[\\s\\x1c-\\x1f]+"
+# No character from here on has a special caseless form, or has a compatibility form or combines,
+# but for ideographs, which hold nothing ASCII.
+CASED_BELOW, MARKED_BELOW = 0x1F000, 0x1FBFF
 
 
 def strip(text) -> Column:
@@ -19,10 +22,6 @@ def strip(text) -> Column:
     return F.regexp_replace(text, f"(?U)^{_EDGE}|{_EDGE}$", "")
 
 
-def is_blank(text) -> Column:
-    return F.coalesce(strip(text) == "", F.lit(True))
-
-
 def let(value, body) -> Column:
     """`body` of a value that is computed once, however often `body` names it."""
     return F.transform(F.array(value), body)[0]
@@ -33,17 +32,18 @@ def _foldings():
     """(one-to-one, one-to-many) characters whose caseless form is not their lower case, made
     from the Unicode database."""
     single, several = {}, {}
-    for point in range(0x80, 0x110000):
-        char = chr(point)
-        if not 0xD800 <= point < 0xE000 and char.casefold() != char.lower():
-            (single if len(char.casefold()) == 1 else several)[char] = char.casefold()
+    for char in map(chr, range(0x80, CASED_BELOW)):
+        folded = char.casefold()
+        if folded != char.lower():
+            (single if len(folded) == 1 else several)[char] = folded
     return single, several
 
 
 def _unfolded(text, several) -> Column:
     """Characters that stand for several, spelled out; only those the text holds are looked at."""
     held = F.filter(F.map_entries(literal_map(several)), lambda e: F.contains(text, e["key"]))
-    return F.aggregate(held, text, lambda done, e: F.replace(done, e["key"], e["value"]))
+    spelled = F.aggregate(held, text, lambda done, e: F.replace(done, e["key"], e["value"]))
+    return F.when(text.rlike("[" + "".join(several) + "]"), spelled).otherwise(text)
 
 
 def casefold(text) -> Column:
@@ -68,10 +68,9 @@ def _decompositions():
     name: everything else is a separator with or without its accents.
     """
     single, several, combining = {}, {}, []
-    for point in range(0x80, 0x110000):
-        if 0xD800 <= point < 0xE000:
-            continue
-        char = chr(point)
+    for char in map(chr, range(0x80, MARKED_BELOW)):
+        if not unicodedata.decomposition(char) and not unicodedata.combining(char):
+            continue  # stands for itself
         if unicodedata.combining(char):
             combining.append(char)
             continue

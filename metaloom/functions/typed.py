@@ -120,6 +120,6 @@ def second_stamp(text) -> Column:
     return F.substring(full, 1, 19)
 
 
-def registry_stamp(text) -> Column:
+def registry_moment(text) -> Column:
     """The registry's own change stamp as a UTC timestamp."""
     return F.try_to_timestamp(strip(text))

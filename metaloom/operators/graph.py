@@ -16,7 +16,7 @@ from metaloom.functions.uris import expand_curie, shorten_uri
 from metaloom.operators.computed import computed
 
 NODE_KINDS = ("uri", "bnode", "literal")
-_NODES = "array<struct<type:string,value:string,lang:string,datatype:string>>"
+NODES = "array<struct<type:string,value:string,lang:string,datatype:string>>"
 
 
 def first(items) -> Column:
@@ -43,7 +43,7 @@ def parse_graph(text) -> Column:
 
 
 def empty_graph() -> Column:
-    return F.create_map().cast(f"map<string,map<string,{_NODES}>>")
+    return F.create_map().cast(f"map<string,map<string,{NODES}>>")
 
 
 # --- one subject -------------------------------------------------------------
@@ -56,7 +56,7 @@ def described(graph, subject) -> Column:
 def objects(node, predicate) -> Column:
     """Objects of one predicate, in order; empty where there are none."""
     key = F.lit(iri(predicate) if "://" not in predicate else predicate)
-    return F.coalesce(F.try_element_at(node, key), F.array().cast(_NODES))
+    return F.coalesce(F.try_element_at(node, key), F.array().cast(NODES))
 
 
 def literals(nodes) -> Column:
@@ -274,13 +274,13 @@ def classify_entries(entries: DataFrame) -> DataFrame:
 
 def merge_graphs(left, right) -> Column:
     """Triples of both graphs; what the left one has is not repeated."""
-    nothing = F.array().cast(_NODES)
+    nothing = F.array().cast(NODES)
 
     def merge_objects(_, a, b):
         return F.concat(F.coalesce(a, nothing), F.array_except(F.coalesce(b, nothing),
                                                                F.coalesce(a, nothing)))
 
-    empty_node = F.create_map().cast(f"map<string,{_NODES}>")
+    empty_node = F.create_map().cast(f"map<string,{NODES}>")
     return F.map_zip_with(left, right, lambda _, a, b: F.map_zip_with(
         F.coalesce(a, empty_node), F.coalesce(b, empty_node), merge_objects))
 
@@ -297,11 +297,15 @@ def triples(entries: DataFrame, graph="metadata", keys=("context_id", "entry_id"
                        F.col("o.datatype").alias("o_datatype"))
 
 
-def triple_counts(rows: DataFrame, keys=("context_id", "entry_id")) -> DataFrame:
-    """Triples, subjects and predicates per entry."""
-    return rows.groupBy(*keys).agg(
-        F.count("*").alias("triples"), F.count_distinct("s").alias("subjects"),
-        F.count_distinct("p").alias("predicates"))
+def triple_counts(entries: DataFrame, graph="metadata", keys=("context_id", "entry_id")) -> DataFrame:
+    """Triples, subjects and predicates per entry that has any; an entry's graph is in its row."""
+    nodes = F.map_values(F.col(graph))
+    stated = F.filter(F.flatten(F.transform(nodes, lambda n: F.map_entries(n))), lambda e: F.size(e["value"]) > 0)
+    described_ = F.filter(nodes, lambda n: F.exists(F.map_values(n), lambda v: F.size(v) > 0))
+    counted = entries.select(*keys, F.aggregate(stated, F.lit(0).cast("bigint"), lambda n, e: n + F.size(e["value"])).alias("triples"),
+                             F.size(described_).cast("bigint").alias("subjects"),
+                             F.size(F.array_distinct(F.transform(stated, lambda e: e["key"]))).cast("bigint").alias("predicates"))
+    return counted.filter(F.col("triples") > 0)
 
 
 def quarantine(rows: DataFrame):
@@ -311,10 +315,18 @@ def quarantine(rows: DataFrame):
     return rows.filter(sound), rows.filter(~sound)
 
 
-def follow(rows: DataFrame, predicate, keys=("context_id", "entry_id")) -> DataFrame:
-    """Triples of the subjects that `predicate` points at within the same entry."""
-    key = list(keys)
-    targets = (rows.filter((F.col("p") == iri(predicate)) & (F.col("o_type") != "literal"))
-               .select(*key, F.col("s").alias("from_s"), F.col("pos").alias("from_pos"),
-                       F.col("o_value").alias("s")))
-    return targets.join(rows, [*key, "s"])
+def follow(entries: DataFrame, *predicates, graph="metadata", keys=("context_id", "entry_id")) -> DataFrame:
+    """Triples `(*keys, from_s, from_pos, s, p, pos, o_type, o_value)` of the subjects that the
+    predicates point at within the same entry. A narrow operation: the targets are looked up in
+    the entry's own graph."""
+    wanted = [iri(p) for p in predicates]
+    whole = F.col(graph)
+    subjects = entries.select(*keys, whole.alias("_graph"), F.explode(F.map_entries(whole)).alias("_s"))
+    pointing = subjects.select(*keys, "_graph", F.col("_s.key").alias("from_s"), F.explode(F.filter(
+        F.map_entries("_s.value"), lambda e: e["key"].isin(wanted))).alias("_p"))
+    targets = pointing.select(*keys, "_graph", "from_s", F.posexplode("_p.value").alias("from_pos", "_o")).filter(
+        (F.col("_o.type") != "literal") & F.map_contains_key("_graph", F.col("_o.value")))
+    nodes = targets.select(*keys, "from_s", "from_pos", F.col("_o.value").alias("s"), F.explode(F.map_entries(
+        F.try_element_at("_graph", F.col("_o.value")))).alias("_t"))
+    found = nodes.select(*keys, "from_s", "from_pos", "s", F.col("_t.key").alias("p"), F.posexplode("_t.value").alias("pos", "_v"))
+    return found.select(*keys, "from_s", "from_pos", "s", "p", "pos", F.col("_v.type").alias("o_type"), F.col("_v.value").alias("o_value"))

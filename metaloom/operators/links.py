@@ -19,10 +19,11 @@ def _row(df, *but):
 
 def latest_per_context(reports: DataFrame) -> DataFrame:
     """The newest report of each context: greatest `created`; a tie keeps the first by `ord`."""
-    best = F.max_by(_row(reports, "context_id"),
-                    F.struct(F.coalesce("created", F.lit("")), -F.col("ord")))
-    return (reports.filter(F.col("context_id") != "").groupBy("context_id")
-            .agg(best.alias("_row")).select("context_id", "_row.*").select(*reports.columns))
+    dated = reports.filter(F.col("context_id") != "").withColumn("_at", F.coalesce("created", F.lit("")))
+    first = (dated.groupBy("context_id", "_at")
+             .agg(F.min_by(_row(reports, "context_id"), "ord").alias("_row")))
+    return (first.groupBy("context_id").agg(F.max_by("_row", "_at").alias("_row"))
+            .select("context_id", "_row.*").select(*reports.columns))
 
 
 def latest_per_url(checks: DataFrame, tie=("context", "pos")) -> DataFrame:

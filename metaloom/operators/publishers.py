@@ -67,22 +67,19 @@ TIERS = ["id", "alias", "uri", "identifier", "name"]
 
 def name_keys(agents: DataFrame, publishers: DataFrame) -> DataFrame:
     """`(key, id, tier)`: what names a publisher. The first tier to claim a key keeps it, ids
-    ascending within a tier."""
-    ids = agents.select("id").distinct()
-    aliases = publisher_aliases(publishers)[0].join(ids, "id", "left_semi")
-
-    def tier(rows, key, number):
-        return rows.select(key.alias("key"), "id", F.lit(number).alias("tier"))
-
-    identifiers = agents.select("id", F.explode("agent.identifiers").alias("k"))
-    spellings = agents.select("id", F.explode(F.map_values("agent.name")).alias("k"))
-    claims = tier(ids, F.col("id"), 0)
-    for rows in (tier(aliases, F.col("alias"), 1), tier(agents, F.col("uri"), 2),
-                 tier(identifiers, strip("k"), 3),
-                 tier(spellings.filter(F.col("k") != ""), slugify("k"), 4)):
-        claims = claims.unionByName(rows)
+    ascending within a tier. Every agent states all its claims in one row."""
+    accepted = publisher_aliases(publishers)[0].groupBy("id").agg(F.collect_set("alias").alias("_aliases"))
+
+    def claims(keys, tier):
+        return F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(tier).alias("tier")))
+
+    names = F.filter(F.coalesce(F.map_values("agent.name"), F.array().cast("array<string>")), lambda n: n != "")
+    own = F.concat(*[claims(F.coalesce(keys, F.array().cast("array<string>")), TIERS.index(tier)) for tier, keys in (
+        ("id", F.array("id")), ("alias", F.col("_aliases")), ("uri", F.array("uri")),
+        ("identifier", F.transform("agent.identifiers", strip)), ("name", F.transform(names, slugify)))])
+    stated = agents.join(accepted, "id", "left").select("id", F.inline(own))
     first = F.min(F.struct("tier", "id"))
-    return (claims.filter(F.col("key").isNotNull()).groupBy("key").agg(first.alias("_first"))
+    return (stated.filter(F.col("key").isNotNull()).groupBy("key").agg(first.alias("_first"))
             .select("key", "_first.id", "_first.tier"))
 
 
@@ -90,26 +87,26 @@ def resolve(requested: DataFrame, keys: DataFrame, publishers: DataFrame) -> Dat
     """`(value, id, held)`: the id each requested value names.
 
     The value as given, then as a short name; then what the publisher table knows, an
-    organisation that holds nothing here included. An unknown value has a null id.
+    organisation that holds nothing here included. An unknown value has a null id. `keys` are named
+    twice, so a catalogue's should be written first.
     """
-    asked = (requested.select("value").distinct().withColumn("_raw", strip("value"))
-             .withColumn("_slug", slugify("_raw")))
-    held = keys.select(F.col("key"), F.col("id"))
-    found = (asked.join(held.withColumnsRenamed({"key": "_raw", "id": "_by_raw"}), "_raw", "left")
-             .join(held.withColumnsRenamed({"key": "_slug", "id": "_by_slug"}), "_slug", "left"))
+    raw = strip("value")
+    spellings = F.array(F.struct(raw.alias("name"), F.lit(False).alias("short")),
+                        F.struct(slugify(raw).alias("name"), F.lit(True).alias("short")))
+    asked = requested.select("value").distinct().select("value", F.inline(spellings))
+    held = keys.select(F.col("key"), F.col("id").alias("_id"))
     listed = publishers.filter(F.col("uri").isNotNull())
-    names = (listed.select(F.col("id").alias("_slug"), "uri", F.col("id").alias("_listed"))
-             .unionByName(listed.filter(F.col("org_no").isNotNull())
-                          .select(F.col("org_no").alias("_slug"), "uri", F.col("id").alias("_listed")))
-             .unionByName(publisher_aliases(publishers)[0].join(listed.select("id", "uri"), "id")
-                          .select(F.col("alias").alias("_slug"), "uri", F.col("id").alias("_listed"))))
-    of_table = (names.join(held.withColumnsRenamed({"key": "uri", "id": "_by_uri"}), "uri", "left")
-                .groupBy("_slug").agg(
-                    F.min_by("_by_uri", F.when(F.col("_by_uri").isNotNull(), F.col("uri"))).alias("_by_uri"),
-                    F.min("_listed").alias("_listed")))
-    found = found.join(of_table, "_slug", "left")
-    return found.select("value", F.coalesce("_by_raw", "_by_slug", "_by_uri", "_listed").alias("id"),
-                        F.coalesce("_by_raw", "_by_slug", "_by_uri").isNotNull().alias("held"))
+    numbered = listed.select("id", "uri", F.explode(F.array("id", "org_no")).alias("name")).filter(F.col("name").isNotNull())
+    called = publisher_aliases(publishers)[0].join(listed.select("id", "uri"), "id").select("id", "uri", F.col("alias").alias("name"))
+    of_table = (numbered.unionByName(called).join(held.withColumnRenamed("key", "uri"), "uri", "left").groupBy("name").agg(
+        F.min_by("_id", F.when(F.col("_id").isNotNull(), F.col("uri"))).alias("_by_uri"), F.min("id").alias("_listed")))
+    found = asked.join(held.withColumnRenamed("key", "name"), "name", "left").join(of_table, "name", "left")
+    short = F.col("short")
+    best = found.groupBy("value").agg(
+        F.max(F.when(~short, F.col("_id"))).alias("_by_raw"), F.max(F.when(short, F.col("_id"))).alias("_by_slug"),
+        F.max(F.when(short, F.col("_by_uri"))).alias("_by_uri"), F.max(F.when(short, F.col("_listed"))).alias("_listed"))
+    return best.select("value", F.coalesce("_by_raw", "_by_slug", "_by_uri", "_listed").alias("id"),
+                       F.coalesce("_by_raw", "_by_slug", "_by_uri").isNotNull().alias("held"))
 
 
 def counts(datasets: DataFrame, services: DataFrame) -> DataFrame:

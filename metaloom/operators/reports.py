@@ -28,11 +28,6 @@ def source_summary(rows: DataFrame) -> DataFrame:
                     F.count_if(holding).alias("failed_holding_records"))
 
 
-def failed_holding(rows: DataFrame) -> DataFrame:
-    return rows.filter((F.col("status") == "failed")
-                       & ((F.col("dataset_count") > 0) | (F.col("data_service_count") > 0)))
-
-
 def _sized(array):
     return F.greatest(F.coalesce(F.size(array), F.lit(0)), F.lit(0))
 

@@ -192,8 +192,11 @@ def resolve_terms(records: DataFrame, keys, labels: DataFrame, fields) -> DataFr
 
 def merge_labels(templates, gazetteer, dereferenced, overrides) -> DataFrame:
     """One label map per URI. The first of the three sources that knows a URI gives its labels;
-    our own labels go over them, language by language. Each input is `(uri, label)`."""
-    ranked = [df.select("uri", "label", F.lit(rank).alias("rank"))
+    our own labels go over them, language by language. Each input is `(uri, label)`, and where a
+    source may list a URI twice, a number `ord`: its last row counts."""
+    ranked = [df.select("uri", "label", F.lit(rank).alias("rank"),
+                        (-F.col("ord") if "ord" in df.columns else F.lit(0)).cast("double").alias("ord"),
+                        F.to_json(F.array_sort(F.map_entries("label"))).alias("told"))
               for rank, df in enumerate((templates, gazetteer, dereferenced, overrides))]
     rows = ranked[0]
     for more in ranked[1:]:
@@ -201,8 +204,8 @@ def merge_labels(templates, gazetteer, dereferenced, overrides) -> DataFrame:
     own = F.when(F.col("rank") == 3, F.col("label"))
     empty = F.create_map().cast("map<string,string>")
     merged = rows.groupBy("uri").agg(
-        F.min_by("label", F.when(F.col("rank") < 3, F.col("rank"))).alias("base"),
-        F.first(own, ignorenulls=True).alias("own"))
+        F.min_by("label", F.when(F.col("rank") < 3, F.struct("rank", "ord", "told"))).alias("base"),
+        F.min_by(own, F.when(F.col("rank") == 3, F.struct("ord", "told"))).alias("own"))
     base, over = F.coalesce("base", empty), F.coalesce("own", empty)
     kept = F.map_filter(base, lambda k, _: ~F.map_contains_key(over, k))
     return merged.select("uri", F.map_concat(kept, over).alias("label"))
@@ -242,20 +245,18 @@ def known_values(labels: DataFrame, filter_name=None, prefix=None) -> DataFrame:
 def publisher_aliases(publishers: DataFrame):
     """(accepted, rejected) aliases of the publisher table `(id, uri, alias, org_no)`.
 
-    An alias claimed twice, or equal to an id or an organisation number, names nobody."""
-    claims = (publishers.select(slugify("alias").alias("alias"), "id")
-              .filter(F.col("alias") != ""))
-    held = publishers.filter(F.col("uri").isNotNull())
-    taken = (held.select(F.col("id").alias("alias"))
-             .unionByName(held.select(F.col("org_no").alias("alias")))
-             .filter(F.col("alias").isNotNull()).distinct().withColumn("taken", F.lit(True)))
-    counted = (claims.groupBy("alias")
-               .agg(F.count("*").alias("claims"), F.min("id").alias("id"))
-               .join(taken, "alias", "left"))
-    clashes = (F.col("claims") > 1) | F.coalesce("taken", F.lit(False))
+    An alias claimed twice, or equal to an id or an organisation number, names nobody. Claims and
+    names that are taken are counted side by side, in one pass."""
+    held = F.col("uri").isNotNull()
+    uses = F.array(*[F.struct(name.alias("alias"), F.when(F.lit(not taken), F.col("id")).alias("id"), F.lit(taken).alias("taken"))
+                     for name, taken in ((slugify("alias"), False), (F.when(held, F.col("id")), True),
+                                         (F.when(held, F.col("org_no")), True))])
+    counted = (publishers.select(F.inline(uses)).filter(F.col("alias") != "").groupBy("alias")
+               .agg(F.count("id").alias("claims"), F.min("id").alias("id"), F.max("taken").alias("taken"))
+               .filter(F.col("claims") > 0))
+    clashes = (F.col("claims") > 1) | F.col("taken")
     return (counted.filter(~clashes).select("alias", "id"),
-            counted.filter(clashes).select("alias", "claims",
-                                           F.coalesce("taken", F.lit(False)).alias("taken")))
+            counted.filter(clashes).select("alias", "claims", "taken"))
 
 
 def known_publishers(publishers: DataFrame, prefix=None) -> DataFrame:
@@ -353,4 +354,5 @@ def unlabelled_groups(values: DataFrame, labels: DataFrame, by="parent", n=8) ->
 
 def seeded_sample(rows: DataFrame, keys, n, seed) -> DataFrame:
     """Exactly `n` rows (or all, if there are fewer), the same ones for the same seed."""
-    return rows.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    place = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    return rows.orderBy(place, *keys).limit(n)

@@ -9,23 +9,42 @@ TOTAL_ORDER = ["uri", "context_id", "entry_id"]
 
 
 def check_window(limit, offset):
-    def whole(n):
-        return isinstance(n, int) and not isinstance(n, bool) and n >= 0
-
-    if limit is not None and not whole(limit):
-        raise QueryError(f"limit must be 0 or more, or None for every match; got {limit!r}")
-    if not whole(offset):
-        raise QueryError(f"offset must be 0 or more; got {offset!r}")
+    """A window is two counts; only the limit may be left open."""
+    for name, count in (("limit", limit), ("offset", offset)):
+        if count is None and name == "limit":
+            continue
+        if type(count) is not int or count < 0:
+            raise QueryError(f"{name} is a count of records, not {count!r}")
 
 
 def page(matches: DataFrame, limit=None, offset=0, order=TOTAL_ORDER) -> DataFrame:
-    """Matches from `offset`, at most `limit`, in an order without ties."""
+    """Matches from `offset`, at most `limit`, in an order without ties.
+
+    A deep offset is counted through by one task; `page_after` has no such cost.
+    """
     check_window(limit, offset)
     ordered = matches.orderBy(*order)
     ordered = ordered.offset(offset) if offset else ordered
     return ordered if limit is None else ordered.limit(limit)
 
 
+def page_after(matches: DataFrame, last, limit, order=TOTAL_ORDER) -> DataFrame:
+    """The `limit` matches that follow the row whose `order` columns are `last` (None: from the start).
+
+    The place is a filter, so what lies before it is never sorted or held.
+    """
+    check_window(limit, 0)
+    if last is not None:
+        later = F.lit(False)
+        for i, column in enumerate(order):
+            same = F.lit(True)
+            for c, v in list(zip(order, last))[:i]:
+                same = same & (F.col(c) == F.lit(v))
+            later = later | (same & (F.col(column) > F.lit(last[i])))
+        matches = matches.filter(later)
+    return matches.orderBy(*order).limit(limit)
+
+
 def has_more(offset, returned, total):
     """Whether a page is followed by another; works on columns and numbers."""
     return offset + returned < total

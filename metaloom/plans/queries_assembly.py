@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from metaloom.operators import assemble, links, reports
 from metaloom.plans.registry import query
-from metaloom.plans.standins import none
-from metaloom.sources import exports, store
+from metaloom.plans.standins import entries_of, graph_text, literal, none
+from metaloom.sources import exports, registry, store
 
 
 def part_distributions(t):
@@ -137,9 +137,13 @@ SELECT context_id, created, event_id AS ord FROM (SELECT *, row_number() OVER (
     PARTITION BY context_id ORDER BY created DESC, event_id) AS n FROM r) WHERE n = 1""")
 def latest_report(t):
     """The newest day of each context; among its reports of that day the first."""
-    rows = t.events.select(F.concat(F.lit("ctx"), F.floor(F.col("user_id") / 10).cast("string")).alias("context_id"),
-                           F.date_format("ts", "yyyy-MM-dd").alias("created"), F.col("event_id").alias("ord"))
-    return links.latest_per_context(rows)
+    context = F.concat(F.lit("ctx"), F.floor(F.col("user_id") / 10).cast("string"))
+    graph = graph_text([(F.concat(F.lit("urn:report:"), "event_id"), {
+        "dcterms:created": [literal(F.date_format("ts", "yyyy-MM-dd"))]})])
+    order = F.struct(F.lit("page").alias("file"), F.col("event_id").alias("pos"))
+    entries = entries_of(t.events, F.col("event_id"), graph, context=context, extra=[order.alias("ord")])
+    newest = links.latest_per_context(registry.report_entries(entries))
+    return newest.select("context_id", "created", F.col("ord.pos").alias("ord"))
 
 
 SQL_CHECKS = """
@@ -331,8 +335,8 @@ WHERE doc_id = (SELECT min(doc_id) FROM labels)""")
 def get_record(t):
     """One record by its URI, out of all of them."""
     lowest = t.labels.agg(F.concat(F.lit("https://data.example.org/doc/"), F.min("doc_id")).alias("uri"))
-    return (t.document_records.join(lowest, "uri", "left_semi")
-            .orderBy("type", "context_id", "entry_id").limit(1).select("uri", "context_id"))
+    uri = lowest.head()["uri"]  # the one that is asked for
+    return assemble.record_by_uri(t.document_records, uri).select("uri", "context_id")
 
 
 # --- changes -----------------------------------------------------------------------
@@ -340,39 +344,44 @@ def get_record(t):
 MIDDLE = "2024-01-15"
 
 
-def _state(events):
-    """The last event of every user as a record."""
-    return events.groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("event_type"),
-                                         F.max("event_id").alias("event_id"))
+def stamped(t):
+    """events with their time as text, written with one offset or the other."""
+    form = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    there = F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL 2 HOURS"), form), F.lit("+02:00"))
+    return t.events.withColumn("harvested", F.when(F.col("event_type") == "click", there).otherwise(
+        F.concat(F.date_format("ts", form), F.lit("Z"))))
 
 
 @query("upsert_latest", """
-SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY ALL""")
+SELECT user_id, arg_max(event_type, ts) AS event_type, arg_max(event_id, ts) AS event_id FROM events GROUP BY ALL""")
 def upsert_latest(t):
-    """What the first half of the log left, with the second half's rows over it."""
+    """What the first half of the log left, with the second half's rows over it, newest by moment."""
     middle = F.lit(MIDDLE).cast("timestamp")
-    return store.upserted(_state(t.events.filter(F.col("ts") < middle)),
-                          _state(t.events.filter(F.col("ts") >= middle)), keys=["user_id"])
+    old, new = (store.latest_per_key(stamped(t).filter(half), ["user_id"]).select("user_id", "event_type", "event_id")
+                for half in (F.col("ts") < middle, F.col("ts") >= middle))
+    return store.upserted(old, new, keys=["user_id"])
 
 
 @query("changed_since", f"SELECT event_id, user_id FROM events WHERE ts >= TIMESTAMP '{MIDDLE}'")
 def changed_since(t):
-    return store.changed_since(t.events, F.lit(MIDDLE).cast("timestamp"), "ts").select("event_id", "user_id")
+    """The mark has an offset of its own."""
+    return store.changed_since(stamped(t), f"{MIDDLE}T03:00:00+03:00").select("event_id", "user_id")
 
 
-@query("high_water", "SELECT strftime(max(ts), '%Y-%m-%d %H:%M') AS high_water FROM events")
+@query("high_water", "SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS high_water FROM events")
 def high_water(t):
     return store.high_water(t.events, "ts").select(
-        F.date_format("high_water", "yyyy-MM-dd HH:mm").alias("high_water"))
+        F.date_format("high_water", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("high_water"))
 
 
 @query("rebuild_diff", f"""
-WITH a AS (SELECT DISTINCT user_id FROM events WHERE ts < TIMESTAMP '{MIDDLE}' AND event_type = 'error'),
-b AS (SELECT DISTINCT user_id FROM events WHERE ts >= TIMESTAMP '{MIDDLE}' AND event_type = 'error')
-SELECT user_id, 'added' AS change FROM b WHERE user_id NOT IN (SELECT user_id FROM a)
-UNION ALL SELECT user_id, 'removed' FROM a WHERE user_id NOT IN (SELECT user_id FROM b)""")
+WITH a AS (SELECT DISTINCT user_id, event_type FROM events WHERE ts < TIMESTAMP '{MIDDLE}'),
+b AS (SELECT DISTINCT user_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-25')
+SELECT user_id, event_type, 'added' AS change FROM (SELECT * FROM b EXCEPT SELECT * FROM a)
+UNION ALL SELECT user_id, event_type, 'removed' FROM (SELECT * FROM a EXCEPT SELECT * FROM b)""")
 def rebuild_diff(t):
-    errors = t.events.filter(F.col("event_type") == "error")
-    middle = F.lit(MIDDLE).cast("timestamp")
-    return store.rebuild_diff(errors.filter(F.col("ts") < middle).select("user_id").distinct(),
-                              errors.filter(F.col("ts") >= middle).select("user_id").distinct(), keys=["user_id"])
+    """What users did in the first half of the month, and in its last days."""
+    did = t.events.select("user_id", "event_type", "ts")
+    return store.rebuild_diff(did.filter(F.col("ts") < F.lit(MIDDLE).cast("timestamp")).drop("ts").distinct(),
+                              did.filter(F.col("ts") >= F.lit("2024-01-25").cast("timestamp")).drop("ts").distinct(),
+                              keys=["user_id", "event_type"])

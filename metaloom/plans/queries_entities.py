@@ -47,7 +47,7 @@ def order_graph():
             "dcterms:issued": [literal(day, datatype=iri("xsd:date"))],
             "dcterms:modified": [literal(F.when(F.col("o_orderstatus") != "P", F.concat(day, F.lit("T10:00:00Z"))))],
             "dcterms:temporal": [reference(F.lit("_:t0"), "bnode")],
-            "dcat:contactPoint": [reference(own, "bnode"), reference(text("urn:contact:", "o_custkey"))],
+            "dcat:contactPoint": [reference(own, "bnode"), reference(F.concat(F.when(F.col("o_orderstatus") == "P", "urn:contact:gone:").otherwise("urn:contact:"), "o_custkey"))],
             "dcat:distribution": [reference(text("urn:line:", "o_orderkey")), reference(text("urn:nowhere:", "o_orderkey"))]}),
         (F.lit("_:t0"), {
             **a("dcterms:PeriodOfTime"),
@@ -122,7 +122,7 @@ def line_entries(t):
             "dcat:accessService": [reference(F.lit("urn:service"))]}),
         (F.lit("_:sum"), {"spdx:algorithm": [reference(F.lit("http://spdx.org/rdf/terms#checksumAlgorithm_md5"))],
                           "spdx:checksumValue": [literal(F.md5(F.col("part").cast("string")))]})])
-    return entries_of(lines, F.col("l_orderkey"), graph, resource=text("urn:line:", "l_orderkey"))
+    return entries_of(lines, F.col("l_orderkey"), graph, resource=text("urn:line:", "l_orderkey"), context="files")
 
 
 @query("distribution_record", """
@@ -157,6 +157,7 @@ def service_entries(t):
         "dcat:servesDataset": [reference(text("urn:order:", "s_suppkey")), reference(text("urn:order:", "s_nationkey"))],
         "dcterms:conformsTo": [reference(F.when(F.col("s_acctbal") > 5000, "urn:standard"))],
         "dcterms:publisher": [reference(text("urn:agent:", "s_suppkey"))],
+        "dcat:contactPoint": [reference(text("urn:desk:", "s_suppkey"))],
         "dcat:keyword": [literal(F.col("n_name"))]})])
     return entries_of(rows, F.col("s_suppkey"), graph, resource=text("urn:service:", "s_suppkey"),
                       context="svc")
@@ -205,13 +206,12 @@ def contact_entries(t):
         **a("vcard:Individual"), "vcard:organization-name": [literal(F.concat(F.lit("Contact "), "c_name"))],
         "vcard:hasEmail": [reference(F.lit("_:e"), "bnode")]}),
         (F.lit("_:e"), {"vcard:value": [reference(F.concat(F.lit("mailto:e"), "c_custkey", F.lit("@example.org")))]})])
-    held = t.customer.filter(F.col("c_acctbal") > 0)
-    return entries_of(held, F.col("c_custkey"), graph, resource=text("urn:contact:", "c_custkey"), context="contacts")
+    return entries_of(t.customer, F.col("c_custkey"), graph, resource=text("urn:contact:", "c_custkey"), context="contacts")
 
 
 @query("contact_entry_record", """
 SELECT c_custkey AS id, 'urn:contact:' || c_custkey AS uri, 'Contact ' || c_name AS name, 'e' || c_custkey || '@example.org' AS email
-FROM customer WHERE c_acctbal > 0""")
+FROM customer""")
 def contact_entry_record(t):
     """The e-mail is nested in a node of its own."""
     return project(contact_entries(t), "contact").select(identity(), "uri", "name", "email")
@@ -242,13 +242,16 @@ def longtail_record(t):
 # --- whole builds ------------------------------------------------------------------
 
 def registry(t):
-    """Everything a registry would hand out for the given tables, as entries of one kind."""
+    """Everything a registry would hand out for the given tables, as entries of one kind. Orders and
+    their lines stand on an earlier page too."""
     parts = [order_entries(t), line_entries(t), service_entries(t), agent_entries(t), contact_entries(t)]
     rows = None
-    for part in parts:
+    for number, part in enumerate(parts):
         part = part.select("context_id", "entry_id", "rights", "metadata", "info",
                            F.struct(F.lit("f").alias("file"), F.col("entry_id").cast("bigint").alias("pos")).alias("ord"))
         rows = part if rows is None else rows.unionByName(part)
+        if number < 2:
+            rows = rows.unionByName(part.withColumn("ord", F.struct(F.lit("e").alias("file"), F.col("ord.pos"))))
     return rows
 
 
@@ -260,7 +263,7 @@ SELECT o_orderkey AS id, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name ELSE '
        CASE WHEN o_orderstatus <> 'O' THEN regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '_', 'g') END AS access_rights,
        'sv' AS languages, CASE WHEN l_orderkey IS NULL THEN 0 ELSE 1 END AS files,
        CASE WHEN flag = 'N' THEN 'csv' WHEN flag IS NOT NULL THEN 'json' END AS format,
-       CASE WHEN o_orderpriority = '1-URGENT' THEN 'Desk ' || o_custkey WHEN c_acctbal > 0 THEN 'Contact ' || c_name END AS contact,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'Desk ' || o_custkey WHEN o_orderstatus <> 'P' THEN 'Contact ' || c_name END AS contact,
        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS harvested
 FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN l ON l_orderkey = o_orderkey""")
 def build_datasets(t):
@@ -289,8 +292,8 @@ def build_services(t):
 @query("build_unresolved", """
 SELECT 'urn:nowhere:' || o_orderkey AS uri FROM orders
 UNION SELECT 'urn:line:' || o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
-UNION SELECT 'urn:contact:' || o_custkey FROM orders JOIN customer ON o_custkey = c_custkey
-      WHERE o_orderpriority <> '1-URGENT' AND c_acctbal <= 0""")
+UNION SELECT 'urn:contact:gone:' || o_custkey FROM orders WHERE o_orderpriority <> '1-URGENT' AND o_orderstatus = 'P'
+UNION SELECT 'urn:desk:' || s_suppkey FROM supplier""")
 def build_unresolved(t):
     return build.unresolved(build.stage_entries(registry(t)))
 

@@ -8,6 +8,7 @@ from metaloom.operators import facets, filters, windows
 from metaloom.operators.graph import triples
 from metaloom.operators.publishers import agents_of, name_keys, resolve
 from metaloom.plans.registry import query, sql_fold, sql_slug, sql_strip
+from metaloom.session import cut_lineage
 from metaloom.plans.standins import entries_of, graph_text, literal, reference
 
 DOCUMENT_FACETS = ["publisher", "publisher_type", "theme", "access_rights", "accrual_periodicity"]
@@ -193,8 +194,7 @@ def filter_unset(t):
 SELECT o_orderkey AS id FROM orders
 WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate <= TIMESTAMP '1998-06-15'""")
 def filter_range(t):
-    stamp = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
-    return t.orders.filter(filters.within(stamp, "1997", "1998-06-15")).select(
+    return t.orders.filter(filters.within("o_orderdate", "1997", "1998-06-15", kind="timestamp")).select(
         F.col("o_orderkey").alias("id"))
 
 
@@ -299,14 +299,14 @@ SELECT o_orderkey AS id FROM orders JOIN customer ON o_custkey = c_custkey
 WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 9000""")
 def filter_publisher(t):
     """Publishers named by URI, name and id all resolve to ids; the orders are theirs."""
-    records = t.order_records.withColumn("publisher", F.struct(
+    records = t.order_publishers.withColumn("publisher", F.struct(
         "publisher.id", "publisher.uri", "publisher.name", F.array().cast("array<string>").alias("identifiers")))
     chosen = t.customer.filter((F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") > 9000))
     uri = F.concat(F.lit("https://org.example.org/"), "c_custkey")
     asked = chosen.select(F.when(F.col("c_nationkey") < 12, uri).otherwise(
         F.concat(F.lit(" "), F.upper("c_name"))).alias("value"))
     nobody = t.fixed([], "id string, uri string, alias string, org_no string")
-    keys = name_keys(agents_of(records), nobody)
+    keys = cut_lineage(name_keys(agents_of(records), nobody))
     wanted = resolve(asked, keys, nobody).select("id").distinct()
     return ids(records.withColumn("id", F.col("publisher.id")).join(wanted, "id", "left_semi"))
 
@@ -318,7 +318,7 @@ def filter_field_pair(t):
         "dcat:theme": [reference(F.concat(F.lit("http://b.example.org/"), "p_brand"))],
         "dcterms:title": [literal(F.col("p_name"))]})])
     entries = entries_of(t.part, F.col("p_partkey"), graph)
-    found = filters.with_pair(entries, triples(entries), "http://www.w3.org/ns/dcat#theme",
+    found = filters.with_pair(entries, "http://www.w3.org/ns/dcat#theme",
                               "http://b.example.org/Brand#7")
     return ids(found)
 
@@ -382,11 +382,11 @@ def page_window(t):
 
 @query("page_order", """
 SELECT source AS context_id, CAST(doc_id AS VARCHAR) AS entry_id FROM documents
-ORDER BY context_id, entry_id LIMIT 100""")
+ORDER BY context_id, entry_id""")
 def page_order(t):
     """Many datasets share a source; the entry id leaves no ties."""
     rows = t.document_records.select("context_id", "entry_id")
-    return windows.page(rows, limit=100, order=["context_id", "entry_id"])
+    return windows.page(rows, order=["context_id", "entry_id"])
 
 
 @query("newest_first", """

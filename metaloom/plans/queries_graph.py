@@ -65,7 +65,7 @@ def triples_flatten(t):
 @query("triples_count", SQL_TRIPLES + """
 SELECT id, count(*) AS triples, count(DISTINCT s) AS subjects, count(DISTINCT p) AS predicates FROM t GROUP BY id""")
 def triples_count(t):
-    rows = g.triple_counts(g.triples(supplier_entries(t)))
+    rows = g.triple_counts(supplier_entries(t))
     return rows.select(entry_id(), "triples", "subjects", "predicates")
 
 
@@ -242,8 +242,7 @@ SELECT t.id, t.s AS from_s, x.s, x.p, x.o_value FROM t JOIN t x ON t.id = x.id A
 WHERE t.p IN ('dcterms:publisher', 'dcat:contactPoint') AND t.o_type <> 'literal'""")
 def follow_reference(t):
     """Literals and undescribed targets are skipped."""
-    rows = g.triples(supplier_entries(t))
-    found = g.follow(rows, "dcterms:publisher").unionByName(g.follow(rows, "dcat:contactPoint"))
+    found = g.follow(supplier_entries(t), "dcterms:publisher", "dcat:contactPoint")
     return found.select(entry_id(), "from_s", "s", uris.shorten_uri("p").alias("p"), "o_value")
 
 

@@ -6,16 +6,22 @@ from metaloom.constants import PUBLISHER_FACETS
 from metaloom.operators import publishers
 from metaloom.operators.facets import facet_counts
 from metaloom.plans.registry import query, sql_slug
+from metaloom.session import cut_lineage
 
 
-def nation_records(t):
+def nation_records(t, orders=None):
     """Orders published by the customer's nation: one publisher, one agent per customer."""
     agent = F.struct(
         F.col("publisher.type").alias("id"), "publisher.uri", "publisher.name",
         F.lit(None).cast("string").alias("alias"), F.col("context_id").alias("type"),
         F.lit(None).cast("string").alias("homepage"), F.lit(None).cast("string").alias("email"),
         F.array(F.concat(F.lit(" SE-"), F.substring_index("publisher.uri", "/", -1))).alias("identifiers"))
-    return t.order_records.withColumn("publisher", agent)
+    return (t.order_publishers if orders is None else orders).withColumn("publisher", agent)
+
+
+def nation_keys(t):
+    """Written once, as a catalogue's are: `resolve` names them more than once."""
+    return cut_lineage(publishers.name_keys(publishers.agents_of(nation_records(t)), nation_table(t)))
 
 
 def nation_table(t):
@@ -100,8 +106,7 @@ def publisher_resolve(t):
              .unionByName(customer.select(F.concat(F.lit(" SE-"), "c_custkey", F.lit(" ")).alias("value")))
              .unionByName(customer.select(F.concat(F.lit("Alias "), "c_custkey").alias("value")))
              .unionByName(t.supplier.select(F.col("s_name").alias("value"))))
-    keys = publishers.name_keys(publishers.agents_of(nation_records(t)), nation_table(t))
-    return publishers.resolve(asked, keys, nation_table(t))
+    return publishers.resolve(asked, nation_keys(t), cut_lineage(nation_table(t)))
 
 
 @query("publisher_detail", """
@@ -116,5 +121,5 @@ f AS (SELECT 'theme' AS facet, lower(o_orderstatus) AS value FROM o
 SELECT facet, split_part(value, '#', 1) AS value, count(*) AS count FROM f GROUP BY ALL""")
 def publisher_detail(t):
     """What one publisher's datasets are made of."""
-    mine = nation_records(t).filter(F.col("publisher.id") == "nation_7")
+    mine = nation_records(t, t.order_records).filter(F.col("publisher.id") == "nation_7")
     return facet_counts(mine, PUBLISHER_FACETS)

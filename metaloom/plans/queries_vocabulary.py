@@ -302,14 +302,15 @@ held AS (SELECT value, known, NULL AS similarity, row_number() OVER (PARTITION B
 SELECT value, known, CAST(rank AS INTEGER) AS rank FROM close WHERE rank <= 3
 UNION ALL SELECT value, known, CAST(rank AS INTEGER) FROM held WHERE rank <= 3""")
 def nearest_value(t):
-    asked = (t.part.select(F.substring("p_name", 2, 100).alias("value"))
+    asked = (t.part.select(F.expr("substring(p_name, 2)").alias("value"))
              .unionByName(t.part.select(F.replace("p_brand", F.lit("ra"), F.lit("r")).alias("value")))
              .unionByName(t.part.select(F.substring_index("p_name", " ", 1).alias("value"))))
     known = t.part.select(F.col("p_name").alias("known")).union(t.part.select("p_brand"))
     return vocabulary.nearest_known(asked, known).select("value", "known", "rank")
 
 
-@query("sample_fixed")
+@query("sample_fixed", """
+SELECT doc_id, lang, source FROM documents ORDER BY md5('20260922|' || doc_id), doc_id LIMIT 500""")
 def sample_fixed(t):
     """The same 500 documents for the same seed."""
     return vocabulary.seeded_sample(t.documents.select("doc_id", "lang", "source"), ["doc_id"], 500, seed=20260922)

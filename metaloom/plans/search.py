@@ -13,6 +13,7 @@ from metaloom.operators import links, publishers, reports, vocabulary
 from metaloom.operators.assemble import record_by_uri
 from metaloom.operators.filters import QueryError
 from metaloom.operators.windows import check_window, page
+from metaloom.session import cut_lineage
 
 FILTERS = {"dataset": [*DATASET_FILTERS, "modified_after", "query"],
            "data_service": [*DATA_SERVICE_FILTERS, "query"],
@@ -65,17 +66,28 @@ class Catalogue:
 
     # -- values to names ---------------------------------------------------------
 
+    # Written on first use: each of these is a pass over the catalogue, and searches ask again.
+
     @cached_property
     def agents(self) -> DataFrame:
-        return publishers.agents_of(self.every)
+        return cut_lineage(publishers.agents_of(self.every))
 
     @cached_property
     def representatives(self) -> DataFrame:
-        return publishers.representatives(self.agents, self.table)
+        return cut_lineage(publishers.representatives(self.agents, self.table))
 
     @cached_property
     def keys(self) -> DataFrame:
-        return publishers.name_keys(self.agents, self.table)
+        return cut_lineage(publishers.name_keys(self.agents, self.table))
+
+    @cached_property
+    def observed(self) -> dict:
+        """Per kind of record `(facet, value)`, every value in use of every filter."""
+        return {"dataset": cut_lineage(fl.observed_values(self.datasets, DATASET_FILTERS)),
+                "data_service": cut_lineage(fl.observed_values(self.services, DATA_SERVICE_FILTERS))}
+
+    def _observed(self, kind, name) -> DataFrame:
+        return self.observed[kind].filter(F.col("facet") == name).select("value")
 
     def _asked(self, values):
         return self.every.sparkSession.createDataFrame([(v,) for v in values], "value string")
@@ -84,7 +96,7 @@ class Catalogue:
         """The error for a value nobody knows, with the nearest known ones."""
         near = vocabulary.nearest_known(self._asked([value]), known).orderBy("rank").collect()
         hint = ", ".join(r["known"] for r in near)
-        return QueryError(f"unknown {name} {value!r}." + (f" Did you mean: {hint}?" if hint else ""))
+        return QueryError(f"no {name} is called {value!r}" + (f"; close to it: {hint}" if hint else ""))
 
     def resolve_publishers(self, values):
         """Ids of what was asked for: as many rows as values, whatever the catalogue's size."""
@@ -95,8 +107,7 @@ class Catalogue:
         return [r["id"] for r in found]
 
     def _slugs(self, name, values, kind):
-        records = self.services if kind == "data_service" else self.datasets
-        observed = fl.observed_values(records, [name]).select("value")
+        observed = self._observed(kind, name)
         found = fl.resolve_values(self._asked(values), observed, self.labels).collect()
         for row in found:
             if row["slug"] is None:
@@ -104,8 +115,7 @@ class Catalogue:
         return sorted({r["slug"] for r in found})
 
     def _keyword_keys(self, values):
-        observed = (fl.observed_values(self.datasets, ["keyword"])
-                    .unionByName(fl.observed_values(self.services, ["keyword"]))
+        observed = (self._observed("dataset", "keyword").unionByName(self._observed("data_service", "keyword"))
                     .select(F.col("value").alias("known")).distinct())
         asked = self._asked(values).select(fl.fold_keyword("value").alias("known")).distinct()
         known = [r["known"] for r in asked.join(observed, "known", "left_semi").collect()]

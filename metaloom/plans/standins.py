@@ -92,6 +92,17 @@ class Tables:
             kind_of(fmt, download, access, F.lit(False)).alias("kind"),
             (F.col("l_discount") >= 0.09).alias("dead"))
 
+    @cached_property
+    def order_publishers(self) -> DataFrame:
+        """Who publishes the orders, without what the orders hold."""
+        customers = self.customer.withColumnRenamed("c_custkey", "o_custkey")
+        return self.orders.join(customers, "o_custkey", "left").select(
+            F.col("c_mktsegment").alias("context_id"), F.col("o_orderkey").cast("string").alias("entry_id"),
+            F.struct(F.col("c_name").alias("id"),
+                     F.concat(F.lit("https://org.example.org/"), "o_custkey").alias("uri"),
+                     F.create_map(F.lit("en"), "c_name").alias("name"),
+                     F.concat(F.lit("nation_"), "c_nationkey").alias("type")).alias("publisher"))
+
     @cached_property
     def order_records(self) -> DataFrame:
         """Datasets of orders; publisher is the customer, context its market segment."""
@@ -194,9 +205,7 @@ def entries_of(rows: DataFrame, entry_id, metadata, resource=None, context="ctx"
         told["es:resource"] = [reference(resource)]
     if modified is not None:
         told["dcterms:modified"] = [literal(modified, datatype=iri("xsd:dateTime"))]
-    # One small file is one task; parsing text is worth spreading over the cores there are.
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    texts = rows.repartition(cores, entry_id).select(
+    texts = rows.select(
         (F.lit(context) if isinstance(context, str) else context).alias("context_id"),
         entry_id.cast("string").alias("entry_id"), *extra,
         (F.array(F.lit("readmetadata")) if rights is None else rights).alias("rights"),

@@ -1,6 +1,7 @@
 """Session settings and lineage cuts that survive the loss of an executor."""
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,11 @@ def local_session(cores="*", shuffle_partitions=8, memory="8g", **extra) -> Spar
     builder = (SparkSession.builder.master(f"local[{cores}]").appName("metaloom")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", memory)
-               .config("spark.ui.enabled", "false"))
+               .config("spark.ui.enabled", "false")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
+    # Python workers find the package wherever the session was started from.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    os.environ["PYTHONPATH"] = os.pathsep.join(dict.fromkeys([root, *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]))
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -28,11 +33,13 @@ def local_session(cores="*", shuffle_partitions=8, memory="8g", **extra) -> Spar
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint in the shared folder the cluster names.
 
-    Only where none is named, as in tests, does a folder of our own stand in for it.
+    Only a local session, as in tests, may leave it unnamed; a folder of our own stands in for it.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or os.path.join(tempfile.mkdtemp(prefix="spark-"), "cut"))
     return df.checkpoint(eager=True)

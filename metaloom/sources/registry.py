@@ -75,8 +75,3 @@ def harvest_runs(entries: DataFrame) -> DataFrame:
         "context_id", nullif_empty(status).alias("status"),
         nullif_empty(F.substring(last_of("dcterms:modified"), 1, 19)).alias("harvested"),
         first(titles).alias("title"), "ord")
-
-
-def public_entries(entries: DataFrame) -> DataFrame:
-    return entries.filter(F.array_contains("rights", "readmetadata"))
-

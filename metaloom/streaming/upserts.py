@@ -9,15 +9,7 @@ from pyspark.sql import functions as F
 
 from metaloom.operators.links import latest_per_url
 from metaloom.session import cut_lineage
-from metaloom.sources.store import KEYS, Store
-
-
-def latest_per_key(records: DataFrame, keys=KEYS, stamp="harvested") -> DataFrame:
-    """One row per key, the newest; among equals the greatest of its other plain text."""
-    rest = [c for c in records.columns if c not in keys]
-    order = F.struct(F.coalesce(stamp, F.lit("")), F.coalesce("uri", F.lit("")))
-    newest = F.max_by(F.struct(*rest), order)
-    return records.groupBy(*keys).agg(newest.alias("r")).select(*keys, "r.*").select(*records.columns)
+from metaloom.sources.store import Store, latest_per_key
 
 
 def upsert_records(stream: DataFrame, store: Store, checkpoint, now, **trigger):

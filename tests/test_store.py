@@ -221,3 +221,59 @@ def test_harvest_results(spark):
         "context_id", parse_graph(F.col("info")).alias("info"), parse_graph(F.col("metadata")).alias("metadata"), F.lit(1).alias("ord"))
     run = links.latest_harvest(registry.harvest_runs(df)).head()
     assert (run["status"], run["harvested"], run["title"]) == ("failed", "2024-01-01T10:00:00", "Källa")
+
+
+def test_one_row_per_key_and_newest_by_moment(spark, tmp_path):
+    """10:00+02:00 is before 09:30+00:00, whatever the text says; a batch may hold a key twice."""
+    store = Store(spark, tmp_path / "s", buckets=2)
+    old, new = "2024-01-01T10:00:00+02:00", "2024-01-01T09:30:00+00:00"
+    store.rebuild(rows(spark, ("c", "1", "u", "dataset", old, 1), ("c", "1", "u", "dataset", new, 2), ("c", "2", "v", "dataset", new, 3)), "t1")
+    assert held(store) == {("c", "1"): 2, ("c", "2"): 3}
+    store.upsert(rows(spark, ("c", "2", "v", "dataset", old, 4), ("c", "3", "w", "dataset", new, 6), ("c", "3", "w", "dataset", old, 5)), "t2", only_newer=True)
+    assert held(store) == {("c", "1"): 2, ("c", "2"): 3, ("c", "3"): 6}
+    table = spark.createDataFrame([("u", "a", new)], "url string, status string, checked string")
+    store.upsert_table("link_checks", table, "url", latest="checked")
+    store.upsert_table("link_checks", table.selectExpr("url", "'b' AS status", f"'{old}' AS checked"), "url", latest="checked")
+    assert [r["status"] for r in store.link_checks().collect()] == ["a"]
+    since = changed_since(rows(spark, ("c", "1", "u", "dataset", old, 1), ("c", "2", "u", "dataset", new, 2)), "2024-01-01T08:30:00Z")
+    assert [r["n"] for r in since.collect()] == [2]
+
+
+def test_newest_report_of_read_entries(spark, catalogue):
+    """Report entries order by page and place, which is no number."""
+    made = spark.createDataFrame([("1", "r1", "2024-01-01", ("p", 1)), ("1", "r2", "2024-01-02", ("p", 3)), ("1", "r3", "2024-01-02", ("p", 2))],
+                                 "context_id string, report_id string, created string, ord struct<file:string,pos:int>")
+    assert [r["report_id"] for r in links.latest_per_context(made).collect()] == ["r3"]
+    checks = spark.createDataFrame([("1", "r3", "u"), ("1", "r2", "u")], "context_id string, report_id string, uri string")
+    assert build.newest_checks(checks, made).count() == 1
+    assert registry.report_entries(catalogue["entries"]).count() == catalogue["entries"].count()
+
+
+def test_refresh_reads_only_what_it_refers_to(catalogue):
+    staged = build.stage_entries(catalogue["entries"])
+    one = staged.filter(F.col("uri_of" if "uri_of" in staged.columns else "entry_id") == "1")
+    partial = {r["uri"]: r for r in build.records(one, catalogue["labels"], references=staged).collect()}
+    whole = {r["uri"]: r for r in build.records(staged, catalogue["labels"]).collect()}
+    assert set(partial) == {"urn:d1"} and partial["urn:d1"] == whole["urn:d1"]
+    mine, others = build.split_by_entity(one), build.split_by_entity(staged)
+    assert build.referred_to(mine, others)["distribution"].count() == 2 and others["distribution"].count() == 3
+
+
+def test_an_entry_on_two_pages_is_one_record(catalogue):
+    twice = catalogue["entries"].unionByName(catalogue["entries"].withColumn("ord", F.struct(F.lit("a").alias("file"), F.col("ord.pos").alias("pos"))))
+    made = build.records(build.stage_entries(twice), catalogue["labels"]).collect()
+    assert len(made) == 3 and sorted(len(r["distributions"]) for r in made) == [0, 1, 2]
+
+
+def test_pages_by_place(spark):
+    from metaloom.operators.windows import page, page_after
+
+    table = spark.createDataFrame([(i // 3, f"{i:02d}") for i in range(20)], "a int, b string")
+    order, last, seen = ["a", "b"], None, []
+    while True:
+        got = page_after(table, last, 6, order).collect()
+        if not got:
+            break
+        seen += [r["b"] for r in got]
+        last = (got[-1]["a"], got[-1]["b"])
+    assert seen == [r["b"] for r in page(table, order=order).collect()]
