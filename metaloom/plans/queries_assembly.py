@@ -385,3 +385,20 @@ def rebuild_diff(t):
     return store.rebuild_diff(did.filter(F.col("ts") < F.lit(MIDDLE).cast("timestamp")).drop("ts").distinct(),
                               did.filter(F.col("ts") >= F.lit("2024-01-25").cast("timestamp")).drop("ts").distinct(),
                               keys=["user_id", "event_type"])
+
+
+@query("quarantine_pages", """
+SELECT p_partkey AS id, CASE WHEN p_type = 'PROMO' THEN 'page' WHEN p_type = 'SMALL' THEN 'graph' END AS unreadable,
+       CASE WHEN p_type = 'PROMO' THEN 0 ELSE 1 END AS entries FROM part""")
+def quarantine_pages(t):
+    """A page per part; some are torn, and some hold a graph that is none."""
+    graph = F.when(F.col("p_type") == "SMALL", "{torn").otherwise("{}")
+    child = F.struct(F.col("p_brand").alias("contextId"), F.col("p_partkey").cast("string").alias("entryId"), graph.alias("metadata"))
+    text = F.to_json(F.struct(F.struct(F.array(child).alias("children")).alias("resource")))
+    torn = F.when(F.col("p_type") == "PROMO", F.expr("left(text, length(text) - 4)")).otherwise(F.col("text"))
+    texts = t.part.select(F.col("p_partkey").cast("string").alias("file"), "p_type", text.alias("text")).select("file", torn.alias("text"))
+    pages, unreadable = registry.split_pages(texts)
+    rows = (registry.entries_of_pages(pages).select(F.col("ord.file").alias("file"), none().alias("unreadable"), F.lit(1).alias("entries"))
+            .unionByName(unreadable.select("file", F.lit("page").alias("unreadable"), F.lit(0).alias("entries")))
+            .unionByName(registry.unreadable_graphs(pages).select("file", F.lit("graph").alias("unreadable"), F.lit(0).alias("entries"))))
+    return rows.groupBy(F.col("file").cast("bigint").alias("id")).agg(F.max("unreadable").alias("unreadable"), F.max("entries").alias("entries"))

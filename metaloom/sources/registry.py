@@ -22,11 +22,34 @@ def entries_of_pages(pages: DataFrame) -> DataFrame:
     return computed(rows, **graphs).drop("e")
 
 
+def split_pages(texts: DataFrame):
+    """(pages, unreadable) of `(file, text)`: a page is a JSON document that lists its entries; any
+    other text is put aside whole, by file name."""
+    parsed = computed(texts, page=F.from_json("text", schemas.ENTRY_PAGE))
+    sound = F.col("page.resource.children").isNotNull()
+    return (parsed.filter(sound).select("file", "page.resource"),
+            parsed.filter(F.coalesce(~sound, F.lit(True))).select("file", "text"))
+
+
+def unreadable_graphs(pages: DataFrame) -> DataFrame:
+    """`(file, pos, entry_id, graph, text)` of graphs that are no RDF/JSON. Their entries are read
+    with an empty graph in that place."""
+    children = pages.select("file", F.posexplode("resource.children").alias("pos", "e"))
+    told = F.array(*[F.struct(F.lit(name).alias("graph"), F.col(f"e.{name}").alias("text"))
+                     for name in ("metadata", "info", "relations")])
+    rows = children.select("file", "pos", F.col("e.entryId").alias("entry_id"), F.inline(told))
+    return rows.filter((F.col("text") != "") & parse_graph(F.col("text")).isNull())
+
+
+def read_pages(spark: SparkSession, path):
+    """(pages, unreadable) of a registry's files, one JSON document each."""
+    texts = spark.read.option("wholetext", True).text(path)
+    return split_pages(texts.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")))
+
+
 def read_entries(spark: SparkSession, path) -> DataFrame:
-    """Registry pages, one JSON document per file, as entries."""
-    pages = (spark.read.schema(schemas.ENTRY_PAGE).option("multiLine", True).json(path)
-             .select("resource", F.col("_metadata.file_path").alias("file")))
-    return entries_of_pages(pages)
+    """The entries of a registry's files; `read_pages` also tells which files could not be read."""
+    return entries_of_pages(read_pages(spark, path)[0])
 
 
 def read_link_checks(spark: SparkSession, path):
