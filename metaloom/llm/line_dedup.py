@@ -58,7 +58,7 @@ def drop_spread_lines(docs: DataFrame, id_col="doc_id", text_col="text", site_co
 
     Lines end at line feeds. A null text stays null; a text whose lines all go becomes empty. Rows that
     repeat both id and text are treated alike. Null ids come first in the order of documents. A column
-    n_chars is recounted where the text changed.
+    n_chars is recounted where the text changed, and one called lines_removed replaced.
     """
     lines = lines_of(docs, id_col, text_col, site_col)
     spread = spread_lines(lines, min_sites)
@@ -72,5 +72,5 @@ def drop_spread_lines(docs: DataFrame, id_col="doc_id", text_col="text", site_co
     columns = {text_col: F.when(gone, kept).otherwise(F.col(text_col))}
     if "n_chars" in docs.columns:
         columns["n_chars"] = F.when(gone, F.length(kept).cast("long")).otherwise(F.col("n_chars"))
-    return marked.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns],
+    return marked.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns if c != "lines_removed"],
                          F.coalesce(F.size("_gone"), F.lit(0)).alias("lines_removed"))
