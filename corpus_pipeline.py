@@ -6,14 +6,12 @@ from pyspark.sql import functions as F
 from metaloom.llm import line_dedup, mixing, packing, superminhash, toxicity
 from metaloom.llm.common import stored, table
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is not predicted to be toxic. The classifier learns from all documents that
     have a label to learn from, null and empty texts included."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").select(COLUMNS)
+    return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,19 +19,19 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     left go."""
     kept = line_dedup.drop_spread_lines(docs)
     blank = F.trim(F.translate("text", "\t\n\x0b\x0c\r", "     ")) == ""
-    return kept.where(~F.coalesce((F.col("lines_removed") > 0) & blank, F.lit(False))).select(COLUMNS)
+    return kept.where(~F.coalesce((F.col("lines_removed") > 0) & blank, F.lit(False))).select(docs.columns)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates."""
     found = superminhash.near_duplicates(docs)
     gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each document as often as it is taken whole, and the words taken besides."""
-    return mixing.mixed_documents(mixing.mix(docs.select(COLUMNS)), COLUMNS)
+    return mixing.mixed_documents(mixing.mix(docs), docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
