@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from metaloom.llm.common import ASCII_LOWER, WORD, stored
 
-CHUNK_TOKENS, RANGE_KEYS = 3_000_000, 2_000_000
+CHUNK_TOKENS, RANGE_KEYS = 1_000_000, 2_000_000
 KEY_BITS = 56
 # Places in a chunk's vocabulary of the end of a text, a token like a word, and of its beginning, which is none.
 END, BEGIN = 0, 1
@@ -192,6 +192,13 @@ def _chunker(size):
     return gather
 
 
+def _rows(batch):
+    """Chunks one at a time; a batch may hold several large ones."""
+    wanted = [c for c in batch.schema.names if c != "ids"]
+    for i in range(batch.num_rows):
+        yield batch.select(wanted).slice(i, 1).to_pylist()[0]
+
+
 def _chunk(row):
     return Chunk(unpack(row["vocabulary"], "<u8"), unpack(row["tokens"], "<i4"), unpack(row["lengths"], "<i8"),
                  unpack(row["held"], "u1").astype(bool))
@@ -219,7 +226,7 @@ def _asked(chunk, keys, counts, bands, ranges):
 def _ask_words(ranges):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 keys, counts, order = _chunk(row).words()
                 yield _asked(row["chunk"], keys, counts, (order != BEGIN).astype(np.uint8), ranges)
     return ask
@@ -241,7 +248,7 @@ def _ask_pairs(ranges):
     """A pair's band is the logarithm of the count of its first word; 255 where that is unknown."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 chunk = _chunk(row)
                 frequent = _word_counts(chunk, row)
                 keys, counts, context, _ = chunk.pairs()
@@ -283,22 +290,24 @@ def _answered(asked: DataFrame, name):
     return lists, {r["band"]: r for r in bands}
 
 
-def _score(total, distinct, shares, id_type):
+def _score(total, distinct, shares):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, row in enumerate(batch.to_pylist()):
+            for i, row in enumerate(_rows(batch)):
                 chunk = _chunk(row)
                 counts = _word_counts(chunk, row)
                 model = Automaton(counts, total, distinct, shares)
                 _, _, context, pair = chunk.pairs()
-                pair_counts = _answers(row, "pairs")
-                arc = model.arcs(context[pair], chunk.tokens, pair_counts[pair])
+                # One arc per different pair; tokens only pick theirs.
+                word = np.empty(len(context), dtype=np.int64)
+                word[pair] = chunk.tokens
+                arc = model.arcs(context, word, _answers(row, "pairs"))[pair]
                 own = np.repeat(np.arange(len(chunk.lengths)), chunk.lengths)
                 base = np.bincount(own, model.root[chunk.tokens], minlength=len(chunk.lengths))
                 known = np.bincount(own, counts[chunk.tokens] > 0, minlength=len(chunk.lengths)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("ids")[i].values, pa.array(chunk.held), pa.array(chunk.lengths), pa.array(known),
-                     pa.array(np.full(len(own[:0]) + len(chunk.lengths), total, np.int64)), pa.array(base),
+                     pa.array(np.full(len(chunk.lengths), total, np.int64)), pa.array(base),
                      pa.array(model.traverse(chunk, arc))],
                     names=["_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return score
@@ -327,6 +336,6 @@ def score(docs: DataFrame, held_out, id_col="doc_id", text_col="text") -> DataFr
         if b < 64 and r["n"]:
             shares[b] = min(MOST, max(LEAST, r["ones"] / r["n"]))
     scored = chunks.join(pairs, "chunk").mapInArrow(
-        _score(total, distinct, shares, id_type), f"_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, "
+        _score(total, distinct, shares), f"_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, "
         "train_tokens bigint, base_score double, score double")
     return scored.withColumnRenamed("_id", id_col)
