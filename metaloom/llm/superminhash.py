@@ -4,8 +4,9 @@ Each shingle of a document draws, step by step, a slot from its own random permu
 grows with the step, so slots of one signature depend on each other and vary less than independent
 ones; drawing stops once no slot can improve. Documents that agree on all slots of a band share a
 bucket. A bucket is never expanded into all its pairs: every member is first verified against the
-smallest leader of its buckets, and only buckets that still hold several components are compared in
-blocks, pairs inside one component left out. Links are confirmed on full shingle sets.
+smallest leader of its buckets, then what stays outside a bucket's largest component against a few
+members of that, and only what is still outside against all members, in blocks and with pairs inside
+one component left out. Links are confirmed on full shingle sets.
 """
 
 import re
@@ -24,6 +25,8 @@ BANDS, ROWS = 24, 4
 WORDS, PERCENT = 5, 80
 # Members of a bucket that are held at once while the others pass by, and followers per copy of a leader.
 BLOCK, FOLLOWERS = 64, 256
+# Members of a bucket's largest component that the others are compared with before all of them are.
+LEADERS = 8
 KNOWN_WORDS = 400_000
 
 _MIX, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15)
@@ -131,6 +134,33 @@ def _signer(size, bands, rows):
     return sign
 
 
+def counts_of(shingles):
+    """How many shingles fall into each of 512 classes; the overlap of two sets is no larger than
+    the sum of the smaller counts."""
+    return np.bincount((shingles & np.uint64(511)).astype(np.int64), minlength=512)
+
+
+class _Member:
+    """A document in a group; its shingles are made when they are first asked for."""
+
+    def __init__(self, shingler, one, component, size, text):
+        self.shingler, self.one, self.component, self.size, self.text = shingler, one, component, size, text
+        self.shingles = self.counts = None
+
+    def ready(self):
+        if self.shingles is None:
+            self.shingles = self.shingler.shingles(self.shingler.words(self.text.as_py()))
+            self.counts = counts_of(self.shingles)
+        return self
+
+    def links_with(self, other, percent):
+        if 100 * min(self.size, other.size) < percent * max(self.size, other.size):
+            return False
+        most = int(np.minimum(self.ready().counts, other.ready().counts).sum())
+        return (100 * most >= percent * (self.size + other.size - most)
+                and similar(self.shingles, other.shingles, percent))
+
+
 def _verifier(size, percent):
     """Rows come sorted by group and salt, those with role 0 first: these are held, and the rows with
     role 1 are compared with them unless both are of one component."""
@@ -145,19 +175,20 @@ def _verifier(size, percent):
 
         for batch in batches:
             found = []
-            columns = [batch.column(c).to_pylist() for c in ("group", "salt", "role", "_id", "component")]
+            columns = [batch.column(c).to_pylist() for c in ("group", "salt", "role", "_id", "component", "n_shingles")]
             texts = batch.column("text")
-            for i, (g, salt, role, one, component) in enumerate(zip(*columns)):
+            for i, (g, salt, role, one, component, n) in enumerate(zip(*columns)):
                 if (g, salt) != group:
                     group, held, root = (g, salt), [], {}
-                shingles = shingler.shingles(shingler.words(texts[i].as_py()))
+                member = _Member(shingler, one, component, n, texts[i])
                 if role == 0:
-                    held.append((one, component, shingles))
+                    held.append(member)
                     continue
-                for other, its, theirs in held:
-                    if other != one and find(its) != find(component) and similar(shingles, theirs, percent):
-                        found.append((other, one))
-                        root[find(its)] = find(component)
+                for other in held:
+                    if (other.one != one and find(other.component) != find(component)
+                            and member.links_with(other, percent)):
+                        found.append((other.one, one))
+                        root[find(other.component)] = find(component)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
     return verify
@@ -167,10 +198,28 @@ def _verified(held, passing, texts, size, percent) -> DataFrame:
     """Links (a, b). held and passing: group, salt, _id, component."""
     rows = (held.withColumn("role", F.lit(0)).unionByName(passing.withColumn("role", F.lit(1)))
             .join(texts, "_id").repartition("group", "salt").sortWithinPartitions("group", "salt", "role", "_id"))
-    return rows.select("group", "salt", "role", "_id", "component", "text").mapInArrow(
+    return rows.select("group", "salt", "role", "_id", "component", "n_shingles", "text").mapInArrow(
         _verifier(size, percent), "a bigint, b bigint")
 
 
+def _open(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components: bucket, rep, component, major, minor.
+
+    `major` is the bucket's largest component and `minor` the number of members outside it. Of
+    buckets with the same members one is enough.
+    """
+    named = members.select("bucket", "rep").join(components(links).withColumnRenamed("node", "rep"), "rep", "left")
+    named = stored(named.withColumn("component", F.coalesce("component", "rep")), "named")
+    parts = named.groupBy("bucket", "component").agg(
+        F.count("*").alias("n"), F.expr("bit_xor(xxhash64(rep))").alias("x"), F.expr("bit_xor(xxhash64(rep, 1))").alias("y"))
+    whole = (parts.groupBy("bucket").agg(
+        F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("major"),
+        F.expr("bit_xor(x)").alias("x"), F.expr("bit_xor(y)").alias("y")).where("parts > 1")
+        .groupBy("n", "x", "y").agg(F.min(F.struct("bucket", "major")).alias("b")))
+    whole = whole.select("b.bucket", F.col("b.major.component").alias("major"), (F.col("n") - F.col("b.major.n")).alias("minor"))
+    return named.join(whole, "bucket")
+
+
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words=WORDS, percent=PERCENT,
                     bands=BANDS, rows=ROWS) -> DataFrame:
     """One row per input row: id, n_shingles, component_id, kept.
@@ -188,8 +237,9 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words=WOR
     reps = linkable.join(classes, ["key"]).where("_id = rep").select("rep", F.explode("bands").alias("bucket")).distinct()
     buckets = reps.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("leader")).where("n > 1")
     members = stored(reps.join(buckets, "bucket").select("bucket", "leader", "rep"), "members")
-    wanted = members.select(F.col("rep").alias("_id")).distinct()
-    texts = stored(plain.join(wanted, "_id", "left_semi").dropDuplicates(["_id"]), "texts")
+    wanted = members.select(F.col("rep").alias("_id")).distinct().join(
+        linkable.join(classes, "key").where("_id = rep").groupBy("_id").agg(F.max("n_shingles").alias("n_shingles")), "_id")
+    texts = stored(plain.join(wanted, "_id").dropDuplicates(["_id"]), "texts")
 
     # Each member against one leader.
     stars = members.where("leader <> rep").groupBy("rep").agg(F.min("leader").alias("leader"))
@@ -201,17 +251,24 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words=WOR
         F.col("rep").alias("_id"), F.col("rep").alias("component"))
     links = stored(_verified(lead, follow, texts, words, percent), "links")
 
-    # Buckets that still hold several components, each set of members once, in blocks.
-    named = members.select("bucket", "rep").join(components(links).withColumnRenamed("node", "rep"), "rep", "left")
-    named = stored(named.withColumn("component", F.coalesce("component", "rep")), "named")
-    opened = (named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
-                                          F.expr("bit_xor(xxhash64(rep))").alias("x"), F.expr("bit_xor(xxhash64(rep, 1))").alias("y"))
-              .where("low <> high").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")))
-    opened = opened.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rest = stored(named.join(opened, "bucket"), "open")
-    place = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    held = rest.select(F.col("bucket").alias("group"), place.alias("salt"), F.col("rep").alias("_id"), "component")
-    passing = rest.select(F.col("bucket").alias("group"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"),
+    # Members outside the largest component of a bucket against a few members of it.
+    rest = stored(_open(members, links), "open")
+    picked = rest.where("component = major").groupBy("bucket").agg(
+        F.array(*[F.min_by("rep", F.xxhash64("rep", F.lit(i))) for i in range(LEADERS)]).alias("reps"),
+        F.first("component").alias("component"), F.first("minor").alias("minor"))
+    salts = F.ceil(F.col("minor") / FOLLOWERS).cast("int")
+    lead = (picked.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+            .select(F.col("bucket").alias("group"), "salt", F.explode(F.array_distinct("reps")).alias("_id"), "component"))
+    follow = rest.where("component <> major").select(
+        F.col("bucket").alias("group"), F.pmod(F.xxhash64("rep"), salts).cast("int").alias("salt"), F.col("rep").alias("_id"), "component")
+    links = stored(links.unionByName(_verified(lead, follow, texts, words, percent)), "links")
+
+    # What is left outside, in blocks, against all members of the bucket.
+    rest = stored(_open(members, links), "open")
+    blocks = F.ceil(F.col("minor") / BLOCK).cast("int")
+    held = rest.where("component <> major").select(
+        F.col("bucket").alias("group"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("salt"), F.col("rep").alias("_id"), "component")
+    passing = rest.select(F.col("bucket").alias("group"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("salt"),
                           F.col("rep").alias("_id"), "component")
     more = stored(_verified(held, passing, texts, words, percent), "links")
     joined = components(links.unionByName(more)).withColumnRenamed("node", "rep").withColumnRenamed("component", "_c")
