@@ -57,6 +57,9 @@ class WordTokenizer:
         self.find = re.compile(WORD).findall
         self.checks = 3
         self.pieces = {}
+        # Added tokens are found before or after lower case; either way a lower-cased word shows them.
+        added = [re.escape(t.content.lower()) for t in self.whole.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(added) or r"(?!)").search
         self.plain = True
         try:
             self.plain = all(self._plain_ids(w) == self.whole.encode(w, add_special_tokens=False).ids for w in self.TRIAL)
@@ -92,14 +95,15 @@ class WordTokenizer:
 
     def _learn(self, words):
         plain, other, flat, sizes = [], [], [], []
-        known, split = self.pieces.get, _SPLIT.findall
+        known, split, added = self.pieces.get, _SPLIT.findall, self.added
         for w in words:
-            if not self.plain or not _PLAIN(w):
+            low = w.lower()
+            if not self.plain or not _PLAIN(w) or added(low):
                 other.append(w)
                 continue
             plain.append(w)
             before = len(flat)
-            for piece in split(w.lower()):
+            for piece in split(low):
                 flat += known(piece) or self._piece_ids(piece)
             sizes.append(len(flat) - before)
         ids, counts = [self.ids, np.array(flat, np.uint32)], [self.count, np.array(sizes, np.int64)]

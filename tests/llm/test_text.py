@@ -137,6 +137,18 @@ def test_words_are_encoded_as_the_text_is(tokenizer):
     assert [a.tolist() for a in words.encode(texts[::-1])][::-1] == [words.whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_added_tokens_are_encoded_as_in_the_text(tokenizer):
+    texts = [f"plain words {w} and {w} again" for t in ("<|endoftext|>", "<|startoftext|>")
+             for w in (t, f"foo{t}bar", f"É{t}'s", f"漢{t}", t + t, t.upper(), t[:-1], f"<{t}>", f"x{t[:5]}{t}")]
+    texts = ["no such word"] * 3 + texts + ["<|endoftext|>", "a<|endoftext|>\n<|startoftext|> <|endoftext|><|startoftext|>b"]
+    words = packing.WordTokenizer(tokenizer)
+    want = [words.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert words.plain and sum(49407 in ids for ids in want) == 9 and sum(49406 in ids for ids in want) == 8
+    assert [a.tolist() for a in words.encode(texts)] == want
+    for text in texts:  # also first of all that a worker sees
+        assert packing.WordTokenizer(tokenizer).encode([text])[0].tolist() == words.whole.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("lengths", [[], [4], [10] * 7, "random", "thirds", "halves"])
 def test_evolved_packings(lengths):
     draw = np.random.default_rng(5)
