@@ -1,10 +1,13 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one per block of the page. A line weighs as many characters as it shows
-outside links; lines of menus, forms, adverts and the like weigh nothing and end a stretch of text, and
-lines inside an article or main element weigh at least a surge, since the page itself says where its
-text is. Over sliding windows of lines the weights are summed: text begins where a window's sum surges
-over a threshold and ends where it dives to nothing, and all lines between are kept, short ones too.
+outside links; lines of menus, forms, adverts and the like are taken out, and lines inside an article or
+main element weigh at least a surge, since the page itself says where its text is. Over sliding windows
+of lines the weights are summed: text begins where a window's sum surges over a threshold and ends where
+it dives to nothing, and all lines between are kept, short ones too. So text runs on across an advert;
+only between an article element and what stands outside it does a line taken out end a stretch. A heading
+from which lines lead up to a stretch begins it. The text of a page that never surges is what it shows,
+unless most of that is links.
 """
 
 import html as entities
@@ -29,6 +32,7 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
 # What is not the article: elements, roles, and words of class names and ids.
 ASIDE = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu"}
 CONTAINER = {"article", "main"}
+HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert",
                "form", "menu", "menubar", "toolbar"}
 READERS = {"comment", "comments", "commentlist", "respond", "disqus", "replies", "discussion"}
@@ -49,6 +53,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
+_TAG = re.compile(r"</?[a-zA-Z]")
 _RIGHTS = re.compile(r"(©|\(c\)|copyright\b|all rights reserved)", re.I)
 
 
@@ -110,11 +115,14 @@ def _matched(tokens):
 
 
 def lines_of(page):
-    """[(text, weight)] of a page's blocks; weight is None where a line is not of the article."""
+    """[(text, weight, place)] of a page's blocks; weight is None where a line is not of the article.
+
+    The place is "article" inside an article or main element, "heading" in a heading outside it, or nothing.
+    """
     tokens = _tokens(page)
     ends = _matched(tokens)
     lines, piece, linked = [], [], 0
-    out_until, container_until, hidden_until, links = -1, -1, -1, 0
+    out_until, container_until, hidden_until, heading_until, links = -1, -1, -1, -1, 0
     containers = [i for i, (kind, tag, _) in enumerate(tokens) if kind == "open" and tag in CONTAINER]
 
     def close_line():
@@ -127,7 +135,8 @@ def lines_of(page):
                     weight = max(weight, SURGE)
                 elif _RIGHTS.match(text) and len(text) < 200:
                     weight = 0
-                lines.append((text, None if out_until >= 0 else weight))
+                place = "article" if container_until >= 0 else "heading" if heading_until >= 0 else ""
+                lines.append((text, None if out_until >= 0 else weight, place))
         piece, linked = [], 0
 
     for i, (kind, tag, rest) in enumerate(tokens):
@@ -150,8 +159,12 @@ def lines_of(page):
                     container_until = -1
                 else:
                     hidden_until = -1
+        if heading_until >= 0 and i >= heading_until and tag not in INLINE:
+            heading_until = -1
         if kind == "close" or tag in VOID:
             continue
+        if tag in HEADING:
+            heading_until = ends.get(i, i)
         if tag in HIDDEN and hidden_until < 0:
             hidden_until = ends.get(i, _guess(tokens, i))
         elif tag in CONTAINER or tag not in INLINE or "=" in rest:
@@ -210,15 +223,37 @@ def main_text(page, window=WINDOW, surge=SURGE):
     """The article of one page as text; empty where there is none."""
     if not page:
         return ""
-    lines = lines_of(page)
-    kept = kept_lines([np.nan if w is None else w for _, w in lines], window, surge)
-    return " ".join(text for (text, _), keep in zip(lines, kept) if keep)
+    lines, cut = [], False
+    for text, weight, place in lines_of(page):
+        if weight is None:
+            cut = True
+            continue
+        if cut and lines and "article" in (lines[-1][2], place):
+            lines.append(("", np.nan, ""))
+        lines.append((text, weight, place))
+        cut = False
+    weights = np.array([weight for _, weight, _ in lines], dtype=np.float64)
+    kept = kept_lines(weights, window, surge)
+    if not kept.any() and _TAG.search(page) and 2 * np.nansum(weights) > sum(len(text) for text, *_ in lines):
+        kept = kept_lines(weights, window, min(surge, 1))
+    start, across = None, False  # the kept line that all lines from here on lead up to
+    for i in reversed(range(len(lines))):
+        if kept[i]:
+            start = i
+        elif np.isnan(weights[i]):
+            start = start if start == i + 1 else None
+        elif lines[i][2] == "heading" and start is not None:
+            kept[i:start], start = True, i
+        elif across or not weights[i]:
+            start = None
+        across = np.isnan(weights[i])
+    return " ".join(text for (text, *_), keep in zip(lines, kept) if keep and text)
 
 
 def extract(pages: DataFrame, html_col="html", text_col="text", window=WINDOW, surge=SURGE) -> DataFrame:
     """All columns of `pages` but the html, with its main text and n_chars.
 
-    Null or empty html gives an empty text, as does a page without a surge. Columns called like the
+    Null or empty html gives an empty text, as does a page of little text without markup. Columns called like the
     results are replaced. Rows are independent: repeated ones give repeated results.
     """
     @F.pandas_udf("string")

@@ -39,6 +39,28 @@ def test_pages(page, text):
     assert extraction.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<h1>Title</h1><div class='share'>Share</div><p>{LONG}</p>", f"Title {LONG}"),
+    (f"<h1><a href='/x'>Title</a></h1><div class='share'>Share</div><p>{LONG}</p>", f"Title {LONG}"),
+    (f"<h1>Title</h1><div class='share'>Share</div><article>{LONG}</article>", f"Title {LONG}"),
+    (f"<h1>Title<h2>More</h2><nav>Top</nav><p>{LONG}", f"Title More {LONG}"),
+    (f"<p>Site</p><p>and</p><p>motto</p><h1>Title</h1><p>One.</p><p>Two.</p><p>Three.</p><p>{LONG}", f"Title One. Two. Three. {LONG}"),
+    (f"<h1>Site</h1><p>motto</p><nav>Menu</nav><article>{LONG}</article>", LONG),
+    (f"<p>{LONG}</p><div class='ad'>Buy</div><p>Short end.</p>", f"{LONG} Short end."),
+    (f"<p>{LONG}</p><form>Join<input></form><p>Short.</p><div class='notice'>Note</div><p>End.</p>", f"{LONG} Short. End."),
+    ("<p>Half of what it takes, and as much.</p><div class='ad'>Buy</div><p>And half of it after the advert, too.</p>",
+     "Half of what it takes, and as much. And half of it after the advert, too."),
+    ("<nav>Menu</nav><h1>Title</h1><div class='share'>Share</div><p>One short article.</p><footer>f</footer>", "Title One short article."),
+    ("<div>One short article.</div>", "One short article."),
+    ("".join(f"<p>line {i}</p>" for i in range(30)), " ".join(f"line {i}" for i in range(30))),
+    ("<ul>" + "<li><a href='/x'>a link of some length</a> today</li>" * 9 + "</ul>", ""),
+    (f"<p>Site</p><nav>Menu</nav><article>{LONG}</article><div class='ad'>Buy</div><p>Imprint</p>", LONG),
+    (f"<nav><h1>Site</h1></nav><p>{LONG}</p><h3><a href='/y'>Next</a></h3>", LONG),
+])
+def test_pages_run_on_across_asides(page, text):
+    assert extraction.main_text(page) == text
+
+
 def test_surge_and_dive():
     weights = [5, 0, 0, 0, 40, 50, 3, 0, 2, 0, 0, 0, 7, np.nan, 200, 1]
     kept = extraction.kept_lines(weights)
