@@ -232,8 +232,10 @@ def _ask_words(ranges):
     return ask
 
 
-def _answers(row, column, kind="<u4"):
-    return np.concatenate([unpack(a["counts"], kind) for a in sorted(row[column], key=lambda a: a["r"])]).astype(np.int64)
+def _answers(row, column):
+    """The counts of all ranges; each begins with the width of its numbers."""
+    parts = [a["counts"] for a in sorted(row[column], key=lambda a: a["r"])]
+    return np.concatenate([unpack(p[1:], f"<u{p[0]}") for p in parts]).astype(np.int64)
 
 
 def _word_counts(chunk, row):
@@ -267,10 +269,11 @@ def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     bands = np.concatenate([unpack(b, "u1") for b in rows["bands"]])
     unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
     total = np.bincount(inverse, counts, minlength=len(unique)).astype(np.int64)
-    answer, at, out = np.minimum(total, 0xFFFFFFFF)[inverse].astype("<u4"), 0, []
+    width = 4 if total.max(initial=0) <= 0xFFFFFFFF else 8
+    answer, at, out = total[inverse].astype(f"<u{width}"), 0, []
     for chunk, k in zip(rows["chunk"], rows["keys"]):
         n = len(unpack(k, "<u8"))
-        out.append((chunk, rows["r"].iloc[0], pack(answer[at:at + n]), None, None, None, None))
+        out.append((chunk, rows["r"].iloc[0], bytes([width]) + pack(answer[at:at + n]), None, None, None, None))
         at += n
     band, seen = bands[first], total > 0
     for b in np.unique(band[seen]).tolist():

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +133,16 @@ def test_states_are_distributions():
         assert p.sum() + unknown + (1 - model.share[state]) * (1 - seen.sum() / counts[state]) == pytest.approx(1)
 
 
+def test_counts_beyond_32_bits():
+    keys, counts = np.array([3, 9], "<u8"), np.array([0xF0000000, 2], "<u4")
+    row = {"r": 0, "keys": backoff.pack(keys), "counts": backoff.pack(counts), "bands": backoff.pack(np.ones(2, np.uint8))}
+    got = backoff._answer(pd.DataFrame([{"chunk": c, **row} for c in range(3)]))
+    small = backoff._answer(pd.DataFrame([{"chunk": 0, **row, "r": 1}]))
+    for chunk in range(3):
+        parts = [*got[got["chunk"] == chunk].to_dict("records"), *small[small["chunk"] == 0].to_dict("records")]
+        assert backoff._answers({"words": parts}, "words").tolist() == [3 * 0xF0000000, 6, 0xF0000000, 2]
+
+
 def test_scores_of_odd_tables(frame):
     rows = [(None, "a b", 1), (1, "a b", 1), (1, "a b", 1)]
     got = backoff.score(frame(rows, "doc_id bigint, text string, score int"), F.lit(None).cast("boolean")).collect()
