@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from metaloom.llm import backoff, exact_dedup, extraction, line_dedup, mixing, packing, projections, superminhash, toxicity, warc
+from metaloom.llm import backoff, exact_dedup, extraction, line_dedup, mixing, packing, projections, quality_rules, superminhash, toxicity, warc
 from metaloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -100,3 +100,40 @@ def op10_warc(spark, folder):
     """Archives every page and reads the archives back."""
     archives, index = warc.write(table(spark, folder, "pages"))
     return warc.read(archives, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _failed(rule):
+    value = rule.measure if rule.of is None else f"{rule.measure}::DOUBLE / nullif({rule.of}, 0)"
+    bounds = [f"{value} < {rule.low}"] * (rule.low is not None) + [f"{value} > {rule.high}"] * (rule.high is not None)
+    return f"coalesce({' OR '.join(bounds)}, false)"
+
+
+_STOPS = ", ".join(f"'{word}'" for word in quality_rules.STOP_WORDS)
+
+
+@query(rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS s FROM documents),
+l AS (SELECT doc_id, s, regexp_extract_all(s, '[^\x20\x09-\x0D]+') AS w,
+             [x FOR x IN string_split(s, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines,
+             regexp_extract_all(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?()"' || chr(39), 'abcdefghijklmnopqrstuvwxyz          '),
+                                '[^\x20\x09-\x0D]+') AS plain FROM t),
+win AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS p, unnest([array_to_string(w[i:i + 7], ' ') FOR i IN range(1, len(w) - 6)]) AS x FROM l),
+c AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, x) AS n FROM win),
+r AS (SELECT doc_id, least(8, coalesce(lead(p) OVER (PARTITION BY doc_id ORDER BY p) - p, 8)) AS more FROM c WHERE n > 1),
+m AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(s, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+             length(s) - length(regexp_replace(s, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+             len([x FOR x IN plain IF x IN ({_STOPS})]) AS n_stop_words,
+             len([x FOR x IN list_zip(w, w[2:]) IF x[1] = x[2]]) AS n_echoed_words,
+             CAST(coalesce((SELECT sum(more) FROM r WHERE r.doc_id = l.doc_id), 0) AS BIGINT) AS n_repeat_words,
+             len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+             len([x FOR x IN lines IF regexp_matches(x, '^ *(- |\* |•|‣|◦)')]) AS n_bullet_lines,
+             len([x FOR x IN lines IF regexp_matches(x, '(\.\.\.|…) *$')]) AS n_cut_lines FROM l),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT ({" OR ".join(map(_failed, quality_rules.RULES))}) AS kept FROM b""")
+def op13_quality_rules(spark, folder):
+    """Measures and verdict of every document."""
+    found = quality_rules.judge(table(spark, folder, "documents").select("doc_id", "text"))
+    base_failed = F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words")
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        base_failed.alias("base_failed"), (~base_failed & F.col("kept")).alias("kept"))
