@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from metaloom.llm import backoff, exact_dedup, extraction, line_dedup, mixing, packing, projections, quality_rules, superminhash, toxicity, warc
+from metaloom.llm import backoff, centroids, exact_dedup, extraction, line_dedup, mixing, packing, projections, quality_rules, superminhash, toxicity, warc
 from metaloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -137,3 +137,34 @@ def op13_quality_rules(spark, folder):
     base_failed = F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words")
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                         base_failed.alias("base_failed"), (~base_failed & F.col("kept")).alias("kept"))
+
+
+def _round(i):
+    """Assignment i and the centroids after it."""
+    return f"""
+s{i} AS MATERIALIZED (SELECT vec_id, c, d2 FROM (
+  SELECT q.vec_id, c{i}.c, sum((q.x - c{i}.x) * (q.x - c{i}.x))::BIGINT AS d2 FROM q JOIN c{i} USING (d) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d2, c) = 1),
+c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.c, c{i}.d, coalesce(m.x, c{i}.x) AS x FROM c{i} LEFT JOIN (
+    SELECT s{i}.c, q.d, CAST((sum(q.x) - ((sum(q.x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+    FROM s{i} JOIN q USING (vec_id) GROUP BY s{i}.c, q.d) m USING (c, d)),"""
+
+
+@query(rf"""
+WITH v AS (SELECT vec_id, embedding AS e FROM embeddings WHERE len(embedding) = 64
+           AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+q AS MATERIALIZED (SELECT vec_id, unnest(range(1, 65)) AS d, unnest([floor(256 * x::DOUBLE)::BIGINT FOR x IN e]) AS x FROM v),
+c0 AS MATERIALIZED (SELECT r.c, q.d, q.x FROM q JOIN (
+  SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c FROM v) r USING (vec_id) WHERE r.c < 40),
+{"".join(map(_round, range(5)))}
+s5 AS MATERIALIZED (SELECT vec_id, c, d2 FROM (
+  SELECT q.vec_id, c5.c, sum((q.x - c5.x) * (q.x - c5.x))::BIGINT AS d2 FROM q JOIN c5 USING (d) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d2, c) = 1)
+SELECT vec_id, c::INT AS cluster, d2 AS distance, (sum(d2) OVER (PARTITION BY s5.c))::BIGINT AS cluster_inertia,
+       (sum(d2) OVER ())::BIGINT AS inertia, h.sha AS centroid_sha256
+FROM s5 JOIN (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS sha FROM c5 GROUP BY c) h USING (c)""")
+def op11_centroids(spark, folder):
+    """Forty clusters of all vectors of 64 components, after five rounds."""
+    found = centroids.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"), dimensions=64)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")

@@ -1,16 +1,65 @@
 """Centroids, hard negatives and rules of quality against brute force, and odd tables."""
 
 import collections
+import hashlib
+import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from metaloom.llm import quality_rules
+from metaloom.llm import centroids, quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+# Centroids.
+
+def brute_clusters(rows, dimensions, clusters, rounds):
+    kept = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows
+            if v is not None and len(v) == dimensions and all(x is not None and math.isfinite(x) for x in v)]
+    kept = [(i, v) for i, v in kept if sum(x * x for x in v) < 2 ** 60]
+    centres = [v for _, v in sorted(kept, key=lambda r: (hashlib.sha256(f"2:{r[0]}".encode()).hexdigest(), r[1]))[:clusters]]
+
+    def assign():
+        distances = [[sum((a - b) ** 2 for a, b in zip(v, c)) for c in centres] for _, v in kept]
+        return [(d.index(min(d)), min(d)) for d in distances]
+
+    for _ in range(rounds):
+        best = assign()
+        for c in range(len(centres)):
+            own = [v for (_, v), (b, _) in zip(kept, best) if b == c]
+            if own:
+                centres[c] = [sum(x) // len(own) for x in zip(*own)]
+    return sorted((i, c, d, hashlib.sha256(",".join(map(str, centres[c])).encode()).hexdigest()) for (i, _), (c, d) in zip(kept, assign()))
+
+
+@pytest.mark.parametrize("clusters, block", [(1, 8192), (7, 8192), (7, 16), (500, 8192)])
+def test_clusters_against_brute_force(frame, monkeypatch, clusters, block):
+    monkeypatch.setattr(centroids, "BLOCK", block)
+    draw = np.random.default_rng(1)
+    rows = [(i, draw.normal(draw.integers(0, 4), 0.3, 6).tolist()) for i in range(300)]
+    rows += [(1000 + i, [0.5] * 6) for i in range(150)] + [(2000, [1e6, -1e6, 0.0, 1e5, 3.0, 7.0]), (2001, [1e200] * 6), (7, rows[9][1])]
+    rows += [(3000, None), (3001, []), (3002, [1.0] * 5), (3003, [1.0, None] * 3), (3004, [float("nan")] * 6), (3005, [float("inf")] * 6)]
+    vectors = frame(rows, "vec_id bigint, embedding array<double>").withColumn("cluster", F.lit("mine"))
+    got = centroids.cluster(vectors, 6, clusters=clusters, rounds=3).collect()
+    expected = brute_clusters(rows, 6, clusters, 3)
+    assert sorted((r["vec_id"], r["cluster"], r["distance"], r["centroid_sha256"]) for r in got) == expected
+    inertia = collections.Counter()
+    for _, c, d, _ in expected:
+        inertia[c] += d
+    assert all(r["cluster_inertia"] == inertia[r["cluster"]] and r["inertia"] == sum(inertia.values()) for r in got)
+
+
+def test_clusters_of_odd_tables(frame):
+    rows = [(None, [1.0, 2.0]), (5, [1.0, 2.0]), (5, [1.0, 2.0]), (6, [3.0, 3.0])]
+    got = centroids.cluster(frame(rows, "vec_id bigint, embedding array<float>"), 2).collect()
+    assert sorted((r["vec_id"] or 0, r["distance"]) for r in got) == [(0, 0), (5, 0), (5, 0), (6, 0)]
+    none = centroids.cluster(frame([(1, None)], "vec_id bigint, embedding array<float>"), 2)
+    assert none.count() == 0 and none.columns[:3] == ["vec_id", "cluster", "distance"]
+
+
 # Rules of quality.
 
 def brute_measures(text):
@@ -49,7 +98,7 @@ def test_rules_are_a_table(frame):
     assert {i for i, r in got.items() if r["kept"]} == {1}
     assert got[2]["failed_rules"] == ["symbols"] and got[3]["failed_rules"] == ["few_words"]
     assert got[4]["failed_rules"] == ["few_stop_words", "echoed_words", "repeated_windows"] and "symbols" in got[5]["failed_rules"]
-    assert got[6]["failed_rules"] == ["few_stop_words"] and got[1]["n_words"] == 22
+    assert got[6]["failed_rules"] == ["few_stop_words"] and got[1]["n_words"] == len(prose.split())
     assert quality_rules.judge(docs).count() == len(rows)
     assert quality_rules.judge(docs, rules=[]).where("kept").count() == len(rows)
     none = quality_rules.judge(docs, rules=[quality_rules.Rule("some", "n_symbols", high=0)]).where("kept").count()
