@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from metaloom.llm import backoff, centroids, exact_dedup, extraction, line_dedup, mixing, packing, projections, quality_rules, superminhash, toxicity, warc
+from metaloom.llm import backoff, centroids, exact_dedup, extraction, hard_negatives, line_dedup, mixing, packing, projections, quality_rules, superminhash, toxicity, warc
 from metaloom.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -168,3 +168,22 @@ def op11_centroids(spark, folder):
     """Forty clusters of all vectors of 64 components, after five rounds."""
     found = centroids.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"), dimensions=64)
     return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query(r"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+           AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, CAST(list_dot_product(a.q, c.q) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.q) = len(c.q) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 5""")
+def op12_cover_tree(spark, folder):
+    """Hard negatives of every hundredth vector; every seventh vector's label is moved on first."""
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)

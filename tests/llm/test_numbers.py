@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from metaloom.llm import centroids, quality_rules
+from metaloom.llm import centroids, hard_negatives, quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -60,6 +60,87 @@ def test_clusters_of_odd_tables(frame):
     assert none.count() == 0 and none.columns[:3] == ["vec_id", "cluster", "distance"]
 
 
+# Hard negatives.
+
+def brute_negatives(rows, is_anchor, positives=5, negatives=5):
+    held = {}
+    for i, v, label in rows:
+        if i is None or label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        whole = (label, [math.floor(256 * float(x)) for x in v])
+        if sum(x * x for x in whole[1]) < 2 ** 61:
+            held[i] = min(held.get(i, whole), whole)
+    found = []
+    for a, (label, v) in held.items():
+        if not is_anchor(a):
+            continue
+        scored = [(-sum(x * y for x, y in zip(v, w)), i, other) for i, (other, w) in held.items() if len(w) == len(v)]
+        near = sorted((s, i) for s, i, other in scored if other == label and i != a)[:positives]
+        for p, positive in near:
+            far = sorted((s, i) for s, i, other in scored if other != label and 80 * -p <= 100 * -s <= 100 * -p)[:negatives]
+            found += [(a, positive, rank, i, -p, -s) for rank, (s, i) in enumerate(far, 1)]
+    return sorted(found)
+
+
+@pytest.mark.parametrize("part, leaf, anchors, trees", [(4096, 16, 256, 8), (60, 1, 5, 2)])
+def test_negatives_against_brute_force(frame, monkeypatch, part, leaf, anchors, trees):
+    for name, value in (("PART", part), ("ANCHORS", anchors), ("TREES", trees)):
+        monkeypatch.setattr(hard_negatives, name, value)
+    monkeypatch.setattr(hard_negatives.Tree.build.__func__, "__defaults__", (leaf,))
+    draw = np.random.default_rng(2)
+    rows = [(i, draw.normal(draw.integers(-1, 2), 0.4, 5).tolist(), int(draw.integers(0, 4))) for i in range(400)]
+    rows += [(500 + i, [0.5] * 5, i % 3) for i in range(120)]  # copies: ties by id
+    rows += [(700, [3e6, 1.0, 0.0, 0.0, 0.0], 1), (701, [2.9e6, 1.0, 0.0, 0.0, 0.0], 2), (710, [3e6] * 5, 1), (720, [0.0] * 5, 0), (721, [0.0] * 5, 1),
+             (730, [1.0, 2.0], 1), (731, [1.0, 1.0], 1), (732, [1.0, 1.1], 2), (740, [], 1), (741, [], 1), (742, [], 2), (750, [-9.0] * 5, 7), (760, [9.0] * 5, 7)]
+    rows += [(800, None, 1), (810, [1.0] * 5, None), (None, [1.0] * 5, 1), (820, [None] * 5, 1), (830, [float("nan")] * 5, 1), (20, [9.0] * 5, 3)]
+    vectors = frame(rows, "vec_id bigint, embedding array<double>, label int").withColumn("rank", F.lit("mine"))
+    got = hard_negatives.mine(vectors, F.col("vec_id") % 10 == 0).collect()
+    expected = brute_negatives(rows, lambda i: i % 10 == 0)
+    assert sorted(tuple(r) for r in got) == expected and len(expected) > 500
+
+
+def test_negatives_of_odd_tables(frame):
+    kinds = "vec_id bigint, embedding array<float>, label int"
+    assert hard_negatives.mine(frame([], kinds), F.lit(True)).count() == 0
+    assert hard_negatives.mine(frame([(1, [1.0], 1), (2, [1.0], 2)], kinds), F.lit(True)).count() == 0
+    assert hard_negatives.mine(frame([(1, [1.0], 1), (2, [1.0], 1), (3, [0.9], 2)], kinds), F.lit(None).cast("boolean")).count() == 0
+
+
+@pytest.mark.parametrize("spread", [0.02, 1.0])
+def test_cover_tree(spread):
+    draw = np.random.default_rng(3)
+    points = np.floor(256 * (draw.normal(0, 1, (6, 8))[draw.integers(0, 6, 900)] + draw.normal(0, spread, (900, 8)))).astype(np.int64)
+    points[100:300] = points[0]
+    tree = hard_negatives.Tree.from_bytes(hard_negatives.Tree.build(np.arange(900), np.zeros(900, int), points, leaf=4).to_bytes())
+    assert sorted(tree.ids) == list(range(900)) and (tree.points == points[tree.ids]).all()
+    squares = (points.astype(float) ** 2).sum(axis=1)
+    lifted = np.column_stack([tree.points, np.sqrt(squares.max() - squares[tree.ids])])
+
+    def under(node):
+        if tree.held[node]:
+            return list(range(tree.first[node], tree.first[node] + tree.held[node]))
+        return [p for c in range(tree.child[node], tree.child[node] + tree.children[node]) for p in under(c)]
+
+    anchor = np.floor(256 * draw.normal(0, 1, 8)).astype(np.int64)
+    low, high = tree.bounds(anchor, float(np.sqrt((anchor ** 2).sum())), np.arange(len(tree.centre)))
+    for node in range(len(tree.centre)):
+        members, scores = under(node), tree.points[under(node)] @ anchor
+        assert tree.centre[node] in members
+        assert np.linalg.norm(lifted[members] - lifted[tree.centre[node]], axis=1).max() <= tree.radius[node]
+        assert low[node] <= scores.min() and scores.max() <= high[node]
+        if tree.children[node]:
+            centres = tree.centre[tree.child[node]:tree.child[node] + tree.children[node]]
+            within = 2.0 ** (np.ceil(np.log2(tree.radius[node])) - 1)
+            apart = np.linalg.norm(lifted[centres][:, None] - lifted[centres][None], axis=2)
+            assert tree.centre[node] in centres and apart[~np.eye(len(centres), dtype=bool)].min() > within - 1e-3
+    # A descent on clustered points scores few of them, and finds the best.
+    wanted = hard_negatives.Wanted([-2 ** 62], [2 ** 62], 5)
+    seen = hard_negatives.descend(tree, anchor, -1, 0, True, wanted)
+    products = points @ anchor
+    assert wanted.found[0][1].tolist() == np.lexsort((np.arange(900), -products))[:5].tolist()
+    assert spread == 1.0 or seen < 450
+
+
 # Rules of quality.
 
 def brute_measures(text):
