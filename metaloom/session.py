@@ -30,16 +30,23 @@ def local_session(cores="*", shuffle_partitions=8, memory="8g", **extra) -> Spar
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint in the shared folder the cluster names.
+def shared_folder(spark: SparkSession):
+    """The folder that the driver and all executors share, which the cluster names in `spark.checkpoint.dir`.
 
     Only a local session, as in tests, may leave it unnamed; a folder of our own stands in for it.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not re.match(r"local(\[|$)", context.master):
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(named or os.path.join(tempfile.mkdtemp(prefix="spark-"), "cut"))
+        named = os.path.join(tempfile.mkdtemp(prefix="spark-"), "cut")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from metaloom.constants import iri
 from metaloom.operators import links
 from metaloom.plans import build
+from metaloom.plans.refresh import refresh
 from metaloom.plans.search import Catalogue
 from metaloom.operators.filters import QueryError
 from metaloom.sources import exports, registry, vocabularies
@@ -23,22 +24,27 @@ def held(store):
     return {(r["context_id"], r["entry_id"]): r["n"] for r in store.records().collect()}
 
 
-def test_upsert_rewrites_only_its_buckets(spark, tmp_path):
-    store = Store(spark, tmp_path / "s", buckets=8)
+def test_upsert_writes_only_its_rows(spark, tmp_path):
+    store = Store(spark, tmp_path / "s")
     with pytest.raises(StoreError):
         store.records()
     # One URI on two entries: two rows, as identity is the entry.
-    store.rebuild(rows(spark, *[("c", str(i), "u", "dataset", "2024-01-01", i) for i in range(40)]), "t1")
-    touched = store.upsert(rows(spark, ("c", "3", "u", "dataset", "2024-01-02", 300), ("d", "1", "v", "data_service", "2024-01-02", 1)), "t2")
-    assert len(touched) <= 2
+    assert store.rebuild(rows(spark, *[("c", str(i), "u", "dataset", "2024-01-01", i) for i in range(40)]), "t1") == 40
+    assert store.upsert(rows(spark, ("c", "3", "u", "dataset", "2024-01-02", 300), ("d", "1", "v", "data_service", "2024-01-02", 1)), "t2") == 2
     state = held(store)
     assert len(state) == 41 and state[("c", "3")] == 300 and state[("c", "4")] == 4
     assert store.records("data_service").count() == 1
-    versions = store.pointer()["parts"]
-    assert {versions[str(b)] for b in touched} == {2} and list(versions.values()).count(1) == 8 - len(touched)
+    assert set(store.pointer()["tables"]["records"]["parts"].values()) == {1}
+    assert spark.read.parquet(str(tmp_path / "s" / "records" / "d=2")).count() == 2
     # An older row never replaces a newer one where only newer ones count.
     store.upsert(rows(spark, ("c", "3", "u", "dataset", "2023-01-01", -1)), "t3", only_newer=True)
     assert held(store)[("c", "3")] == 300
+    # A plain upsert does, and what follows is judged against it.
+    store.upsert(rows(spark, ("c", "3", "u", "dataset", "2023-01-01", -2)), "t3")
+    store.upsert(rows(spark, ("c", "3", "u", "dataset", "2023-01-02", -3), ("c", "4", "u", "dataset", "2023-01-02", -3)), "t3", only_newer=True)
+    assert held(store)[("c", "3")] == -3 and held(store)[("c", "4")] == 4
+    before = held(store)
+    assert store.compact() and held(store) == before and store.compact() == []
     store.upsert_table("verdicts", spark.createDataFrame([("u", "dead", "1")], "url string, status string, checked string"), "url")
     store.rebuild(rows(spark, ("c", "1", "u", "dataset", "2024-01-03", 9)), "t4")
     assert held(store) == {("c", "1"): 9} and store.verdicts() is None
@@ -47,8 +53,72 @@ def test_upsert_rewrites_only_its_buckets(spark, tmp_path):
     assert store.vacuum() and held(store) == {("c", "1"): 9}
 
 
+def size_of(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def many(spark, start, end, step=1, harvested="2024-01-01"):
+    return spark.range(start, end, step).selectExpr(
+        "'c' AS context_id", "cast(id AS string) AS entry_id", "concat('u', id) AS uri", "'dataset' AS type",
+        f"'{harvested}' AS harvested", "cast(id AS int) AS n")
+
+
+def test_scattered_keys_write_no_more_than_their_rows(spark, tmp_path):
+    """A thousand keys all over the table are one small delta; buckets follow the measured rows."""
+    store = Store(spark, tmp_path / "s", bucket_rows=5_000)
+    store.rebuild(many(spark, 0, 60_000), "t1")
+    table = store.pointer()["tables"]["records"]
+    assert table["buckets"] == 16 and table["rows"] == 60_000
+    assert store.upsert(many(spark, 0, 60_000, 60, "2024-01-02"), "t2") == 1_000
+    delta = tmp_path / "s" / "records" / "d=2"
+    assert spark.read.parquet(str(delta)).count() == 1_000
+    assert size_of(delta) < size_of(tmp_path / "s" / "records" / "v=1") / 10
+    assert store.records().count() == 60_000 and store.records().filter("harvested = '2024-01-02'").count() == 1_000
+    # One key: compaction writes its bucket and no other.
+    small = Store(spark, tmp_path / "one", bucket_rows=5_000)
+    small.rebuild(many(spark, 0, 60_000), "t1")
+    small.upsert(many(spark, 7, 8, harvested="2024-01-03"), "t2")
+    assert len(small.compact()) == 1 and small.records().count() == 60_000
+    # A table that outgrows its buckets gets more of them.
+    grown = Store(spark, tmp_path / "two", bucket_rows=1_000)
+    grown.rebuild(many(spark, 0, 1_000), "t1")
+    assert grown.pointer()["tables"]["records"]["buckets"] == 1
+    grown.upsert(many(spark, 500, 6_000), "t2")
+    assert grown.pointer()["tables"]["records"]["buckets"] == 8 and grown.records().count() == 6_000
+    assert grown.pointer()["tables"]["records"]["deltas"] == []
+
+
+def test_deltas_are_compacted_before_they_are_many(spark, tmp_path):
+    store = Store(spark, tmp_path / "s", max_deltas=3)
+    store.upsert_table("verdicts", spark.createDataFrame([], "url string, status string, checked string"), "url", latest="checked")
+    assert store.verdicts().count() == 0
+    for i in range(5):
+        store.upsert_table("verdicts", spark.createDataFrame([("u", str(i), f"2024-01-0{5 - i}"), (f"v{i}", "x", None)], "url string, status string, checked string"), "url", latest="checked")
+        assert len(store.pointer()["tables"]["verdicts"]["deltas"]) < 3
+    got = {r["url"]: r["status"] for r in store.verdicts().collect()}
+    assert got == {"u": "0", **{f"v{i}": "x" for i in range(5)}}
+
+
+def test_a_failure_before_the_pointer_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    store = Store(spark, tmp_path / "s")
+    store.rebuild(many(spark, 0, 10), "t1", meta={"high_water": "a"})
+
+    def lost(*_):
+        raise RuntimeError("the driver is lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(store, "_publish", lost)
+        for step in (lambda: store.upsert(many(spark, 5, 20), "t2", meta={"high_water": "b"}), lambda: store.rebuild(many(spark, 0, 1), "t2"),
+                     lambda: store.upsert_table("verdicts", spark.createDataFrame([("u",)], "url string"), "url")):
+            with pytest.raises(RuntimeError):
+                step()
+    assert store.records().count() == 10 and store.pointer()["meta"]["high_water"] == "a" and store.verdicts() is None
+    store.upsert(many(spark, 5, 20), "t2", meta={"high_water": "b"})
+    assert store.records().count() == 20 and store.pointer()["meta"]["high_water"] == "b"
+
+
 def test_sources_are_a_snapshot(spark, tmp_path):
-    store = Store(spark, tmp_path / "s", buckets=2)
+    store = Store(spark, tmp_path / "s")
     for name in ("a", "b"):
         store.replace_table("sources", spark.createDataFrame([(name, "failed")], "context_id string, status string"))
     assert [r["context_id"] for r in store.sources().collect()] == ["b"]
@@ -111,7 +181,7 @@ def catalogue(spark, tmp_path_factory):
     assert unreadable.count() == 1 and read.count() == 3
     entries = registry.read_entries(spark, str(folder / "page*.json"))
     stored = build.records(build.stage_entries(entries, str(folder / "stage")), labels)
-    store = Store(spark, folder / "store", buckets=4)
+    store = Store(spark, folder / "store")
     store.rebuild(stored, "now")
     publishers = vocabularies.read_publishers(spark, str(folder / "none.json"))
     shown = build.view(store.records(), checks=read, publishers=publishers,
@@ -175,15 +245,43 @@ def test_incremental_refresh_keeps_what_it_did_not_ask_about(catalogue, spark):
     assert store.records().count() == 3
 
 
+def test_a_refresh_is_one_step_with_a_stored_mark(catalogue, spark, tmp_path, monkeypatch):
+    store, labels = Store(spark, tmp_path / "s"), catalogue["labels"]
+    staged = build.stage_entries(catalogue["entries"])
+    early = staged.filter(F.col("harvested") < "2024-01-03")
+    first = refresh(store, early, labels, "t1")
+    assert (first.written, first.before) == (2, None) and first.mark.startswith("2024-01-02")
+    assert refresh(store, early, labels, "t2").written == 0
+    version = store.pointer()["version"]
+    with monkeypatch.context() as broken:
+        broken.setattr(store, "_publish", lambda state: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh(store, staged, labels, "t3")
+    assert store.records().count() == 2 and store.pointer()["version"] == version
+    second = refresh(store, staged, labels, "t4")
+    assert (second.written, second.before) == (1, first.mark) and second.mark.startswith("2024-01-03")
+    assert {r["uri"]: r["n"] for r in store.records().select("uri", F.size("distributions").alias("n")).collect()} == {"urn:d1": 2, "urn:d2": 1, "urn:d3": 0}
+    version = store.pointer()["version"]
+    assert refresh(store, staged, labels, "t5").written == 0 and store.pointer()["version"] == version
+    assert {r["key"]: r["value"] for r in store.meta().collect()}["last_refreshed"] == "t4"
+
+
 def test_streams_end_where_a_batch_does(spark, tmp_path):
     """Arrivals out of order, in several files: the newest stands."""
     schema = "context_id string, entry_id string, uri string, type string, harvested string, n int"
     for i, batch in enumerate([[("c", "1", "u", "dataset", "2024-01-03", 3)], [("c", "1", "u", "dataset", "2024-01-02", 2), ("c", "2", "u", "dataset", "2024-01-01", 1)]]):
         spark.createDataFrame(batch, schema).coalesce(1).write.json(str(tmp_path / "in" / f"b{i}"))
-    store = Store(spark, tmp_path / "s", buckets=2)
+    store = Store(spark, tmp_path / "s")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in" / "*"))
     upserts.upsert_records(stream, store, str(tmp_path / "cp"), "now").awaitTermination(100)
     assert held(store) == {("c", "1"): 3, ("c", "2"): 1}
+    # A batch that is run again after it was published is left out; the next one is not.
+    ((name, last),) = store.pointer()["streams"].items()
+    version = store.pointer()["version"]
+    again = rows(spark, ("c", "1", "u", "dataset", "2024-01-09", 9))
+    assert last == 1 and store.upsert(again, "now", only_newer=True, batch=(name, last)) == 0
+    assert held(store) == {("c", "1"): 3, ("c", "2"): 1} and store.pointer()["version"] == version
+    assert store.upsert(again, "now", only_newer=True, batch=(name, last + 1)) == 1 and held(store)[("c", "1")] == 9
     checks = "uri string, context string, pos int, status string, statusMessage string, checkedAt string"
     for i, batch in enumerate([[("u", "a", 1, "broken", "x", "2024-01-02")], [("u", "a", 2, "success", None, "2024-01-01"), ("v", "a", 1, "success", None, "2024-01-01")]]):
         spark.createDataFrame(batch, checks).coalesce(1).write.json(str(tmp_path / "links" / f"b{i}"))
@@ -225,7 +323,7 @@ def test_harvest_results(spark):
 
 def test_one_row_per_key_and_newest_by_moment(spark, tmp_path):
     """10:00+02:00 is before 09:30+00:00, whatever the text says; a batch may hold a key twice."""
-    store = Store(spark, tmp_path / "s", buckets=2)
+    store = Store(spark, tmp_path / "s")
     old, new = "2024-01-01T10:00:00+02:00", "2024-01-01T09:30:00+00:00"
     store.rebuild(rows(spark, ("c", "1", "u", "dataset", old, 1), ("c", "1", "u", "dataset", new, 2), ("c", "2", "v", "dataset", new, 3)), "t1")
     assert held(store) == {("c", "1"): 2, ("c", "2"): 3}
