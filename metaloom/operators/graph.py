@@ -87,22 +87,26 @@ def values(nodes, language=None) -> Column:
 def pick_language(nodes, languages=LANGUAGES) -> Column:
     """One literal value: per language its exact tag, then a regional variant; then an untagged
     literal; then the first."""
-    found = literals(nodes)
+    def picked(found):
+        def first_where(test):
+            return first(F.filter(found, test))["value"]
 
-    def first_where(test):
-        return first(F.filter(found, test))["value"]
+        choices = []
+        for language in languages:
+            choices.append(first_where(lambda o: o["lang"] == language))
+            choices.append(first_where(lambda o: primary_tag(o["lang"]) == language.lower()))
+        return F.coalesce(*choices, first_where(lambda o: o["lang"].isNull()), first(found)["value"])
 
-    choices = []
-    for language in languages:
-        choices.append(first_where(lambda o: o["lang"] == language))
-        choices.append(first_where(lambda o: primary_tag(o["lang"]) == language.lower()))
-    return F.coalesce(*choices, first_where(lambda o: o["lang"].isNull()), first(found)["value"])
+    return let(literals(nodes), picked)
 
 
 def first_per(items, key) -> Column:
     """The items that are the first of their key, in order."""
-    keys = F.transform(items, lambda x: F.coalesce(key(x), F.lit("\u0000")))
-    return F.filter(items, lambda x, i: F.array_position(keys, F.element_at(keys, i + 1)) == i + 1)
+    def kept(held):
+        keys = F.transform(held, lambda x: F.coalesce(key(x), F.lit("\u0000")))
+        return let(keys, lambda ks: F.filter(held, lambda x, i: F.array_position(ks, F.element_at(ks, i + 1)) == i + 1))
+
+    return let(items, lambda held: F.when(F.size(held) < 2, held).otherwise(kept(held)))
 
 
 def localized(nodes) -> Column:
@@ -128,26 +132,28 @@ def text_map(nodes) -> Column:
 def word_map(nodes) -> Column:
     """Lists per language folded to two: the first tag's list as it is, then what later tags of
     the same language add."""
-    found = literals(nodes)
-    tagged = F.transform(found, lambda o: F.struct(
+    tagged = F.transform(literals(nodes), lambda o: F.struct(
         fold_language(o["lang"]).alias("key"), F.coalesce(o["lang"], F.lit("")).alias("tag"),
         o["value"].alias("value")))
 
-    def of_tag(tag):
-        return F.transform(F.filter(tagged, lambda o: o["tag"] == tag), lambda o: o["value"])
-
-    def merged(key):
-        tags = F.array_distinct(F.transform(
-            F.filter(tagged, lambda o: o["key"] == key), lambda o: o["tag"]))
-        later = F.flatten(F.transform(F.slice(tags, F.lit(2), F.greatest(F.size(tags) - 1, F.lit(0))), of_tag))
-        return F.aggregate(
-            later, of_tag(F.element_at(tags, 1)),
-            lambda held, item: F.when(F.array_contains(held, item), held)
-            .otherwise(F.array_append(held, item)))
-
-    keys = F.array_distinct(F.transform(tagged, lambda o: o["key"]))
-    return F.map_from_entries(F.transform(keys, lambda k: F.struct(
-        k.alias("key"), merged(k).alias("value"))))
+    def lists(words):
+        def merged(key):
+            def of_tag(tag):
+                return F.transform(F.filter(words, lambda o: (o["key"] == key) & (o["tag"] == tag)), lambda o: o["value"])
+
+            def joined(tags):
+                later = F.flatten(F.transform(F.slice(tags, F.lit(2), F.greatest(F.size(tags) - 1, F.lit(0))), of_tag))
+                return F.aggregate(
+                    later, of_tag(F.element_at(tags, 1)),
+                    lambda held, item: F.when(F.array_contains(held, item), held)
+                    .otherwise(F.array_append(held, item)))
+
+            return let(F.array_distinct(F.transform(F.filter(words, lambda o: o["key"] == key), lambda o: o["tag"])), joined)
+
+        keys = F.array_distinct(F.transform(words, lambda o: o["key"]))
+        return F.map_from_entries(F.transform(keys, lambda k: F.struct(k.alias("key"), merged(k).alias("value"))))
+
+    return let(tagged, lists)
 
 
 def date_of(nodes) -> Column:

@@ -190,15 +190,22 @@ def graph_text(subjects):
         inner = []
         for predicate, nodes in predicates.items():
             inner.append(F.lit(iri(predicate)))
-            nodes = F.array(*nodes) if isinstance(nodes, list) else nodes
-            inner.append(F.filter(nodes.cast(f"array<{_NODE}>"), lambda n: n["value"].isNotNull()))
+            if isinstance(nodes, list):
+                told = [n.cast(_NODE) for n in nodes]
+                inner.append(F.array_compact(F.array(*[F.when(n["value"].isNotNull(), n) for n in told])))
+            else:
+                inner.append(F.filter(nodes.cast(f"array<{_NODE}>"), lambda n: n["value"].isNotNull()))
         pairs += [subject, F.create_map(*inner)]
     return F.to_json(F.create_map(*pairs))
 
 
 def entries_of(rows: DataFrame, entry_id, metadata, resource=None, context="ctx", rights=None,
                modified=None, extra=()) -> DataFrame:
-    """Entries whose graphs went through RDF/JSON text and back, as from a registry page."""
+    """Entries whose graphs went through RDF/JSON text and back, as from a registry page.
+
+    A table of one row group would be read and written out by one task; a registry hands out many pages.
+    """
+    rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
     entry_uri = F.concat(F.lit("https://registry.example.org/entry/"), entry_id.cast("string"))
     told = {"rdf:type": [reference(F.lit(iri("es:Link")))]}
     if resource is not None:
