@@ -69,6 +69,34 @@ def test_index_finds_what_it_holds(spark, frame):
     assert {r["doc_id"]: r["keep_id"] for r in found} == {1: 7, 2: None}
 
 
+def test_owner_compares_texts_that_share_a_key():
+    import pyarrow as pa
+
+    rows = [(0, 7, "b", 5, 1), (0, 7, "a", 9, 2), (0, 7, "b", 2, 3), (0, 8, "c", None, 1), (1, 9, "a", 4, 1), (1, 9, "c", 3, 1)]
+    names = ["bucket", "key", "text", "id", "n"]
+    kinds = [pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part), kinds)], names=names) for part in (rows[:2], rows[2:])]
+    got = [r for b in exact_dedup._chain(iter(batches)) for r in b.to_pylist()]
+    told = {(r["bucket"], r["key"], r["digest"]): (r["keep_id"], r["group_size"]) for r in got}
+    digest = {t: hashlib.sha256(t.encode()).digest() for t in "abc"}
+    assert told == {(0, 7, digest["a"]): (9, 2), (0, 7, digest["b"]): (2, 4), (0, 8, digest["c"]): (None, 1),
+                    (1, 9, digest["a"]): (4, 1), (1, 9, digest["c"]): (3, 1)}
+    assert sorted((r["key"], r["link"]) for r in got) == [(7, 1), (7, 2), (8, 1), (9, 1), (9, 2)]
+
+
+@pytest.mark.parametrize("capacity", [3, 4096])
+def test_exact_groups_over_split_buckets(frame, capacity):
+    """A text on a third of all rows, ids as text, and a directory that doubles several times."""
+    draw = random.Random(4)
+    rows = [(f"{i:04d}", "hot  text" if i % 3 == 0 else f"t {draw.randrange(300)}") for i in range(1500)]
+    got = exact_dedup.exact_duplicates(frame(rows, "doc_id string, text string"), capacity=capacity).collect()
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[re.sub(" +", " ", t)].append(i)
+    expected = {i: (min(g), len(g)) for g in groups.values() for i in g}
+    assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in got} == expected
+
+
 # Lines.
 
 def brute_lines(rows, min_sites):
