@@ -85,14 +85,12 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
     _turns (whole copies) and two runs of words, [_a1, _b1) and [_a2, _b2), of the part after them.
 
     A null or blank text has size 0 and is not taken. Null is a source of its own, the last. Rows that
-    repeat id and size are interchangeable. In small corpora (under 10,000 blocks) blocks get shorter.
-    Tasks that apportion see one narrow row per source, or per shard of one source, never documents.
+    repeat id and size are interchangeable. A block has `block` words at every size of the corpus, so a
+    source is off its target by up to a block. Tasks that apportion see one narrow row per source, or per shard of one source, never documents.
     """
     own = ["size", "source_size", "target", "taken"]
     rows = docs.select(*[c for c in docs.columns if c not in own]).withColumn("size", word_count(F.col(text_col)))
-    counted = rows.agg(F.count("*"), F.sum("size")).head()
-    shards = max(1, -(-counted[0] // SHARD_ROWS))
-    block = max(1, min(block, (counted[1] or 0) // 10_000))
+    shards = max(1, -(-rows.count() // SHARD_ROWS))
     rows = (rows.withColumn("_order", F.xxhash64(F.lit(seed), F.col(id_col)))
             .withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.col(id_col)), F.lit(shards)))
             .withColumn("_source", F.col(source_col).cast("string")))
