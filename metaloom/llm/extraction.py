@@ -1,17 +1,18 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one per block of the page. A line weighs as many characters as it shows
-outside links; lines of menus, forms, adverts and the like are taken out, and lines inside an article or
-main element weigh at least a surge, since the page itself says where its text is. Over sliding windows
-of lines the weights are summed: text begins where a window's sum surges over a threshold and ends where
-it dives to nothing, and all lines between are kept, short ones too. So text runs on across an advert;
-only between an article element and what stands outside it does a line taken out end a stretch. A heading
-from which lines lead up to a stretch begins it. The text of a page that never surges is what it shows,
-unless most of that is links.
+outside links; lines of menus, forms, adverts and the like are taken out, unless what looks like one holds
+nearly all the text of a page that marks no article. Over sliding windows of lines the weights are summed:
+text begins where a window's sum surges over a threshold and ends where it dives to nothing, and all
+lines between are kept, short ones too. Inside an article or main element any text is a surge, since the
+page itself says where its text is. Text runs on across an advert; only between an article element and
+what stands outside it does a line taken out end a stretch. A heading from which lines lead up to a stretch
+begins it. The text of a page that never surges is what it shows, unless most of that is links.
 """
 
 import html as entities
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pandas as pd
@@ -42,8 +43,13 @@ ASIDE_WORDS = READERS | {
     "aside", "header", "masthead", "footer", "copyright", "cookie", "cookies", "consent", "gdpr", "notice", "notices",
     "alert", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "form",
     "search", "share", "sharing", "social", "related", "recommended", "widget", "toolbar"}
-# Names such as "with-sidebar" describe a layout, not its content.
+# Names such as "with-sidebar" describe a layout, and "search-result-article" holds what it names last.
 LAYOUT_WORDS = {"has", "with", "no", "without", "is"}
+TEXT_WORDS = {"article", "story", "content", "body", "text", "entry"}
+# Elements that are never the article, however much of the page they hold; others are asides only while
+# they hold less than this share of a page without article or main.
+NEVER = {"nav", "footer", "button", "select", "dialog", "menu"}
+NEARLY_ALL = 0.75
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -58,10 +64,10 @@ _RIGHTS = re.compile(r"(©|\(c\)|copyright\b|all rights reserved)", re.I)
 
 
 def _aside(tag, rest, inside):
-    """Why an element is not part of the article: "element", "name", "readers" or nothing."""
+    """Why an element is not part of the article: "never", "element", "name", "readers" or nothing."""
     if tag in ("html", "body"):
         return ""
-    kind = "element" if tag in ASIDE or tag == "header" and not inside else ""
+    kind = "never" if tag in NEVER else "element" if tag in ASIDE or tag == "header" and not inside else ""
     if "=" not in rest:
         return kind
     for name, *values in _ATTRIBUTE.findall(rest):
@@ -74,7 +80,7 @@ def _aside(tag, rest, inside):
             words = {w.lower() for w in _NAME_WORDS.findall(one)}
             if words & READERS:
                 return "readers"
-            if tag not in CONTAINER and words & ASIDE_WORDS and not words & LAYOUT_WORDS:
+            if tag not in CONTAINER | HEADING and words & ASIDE_WORDS and not words & (LAYOUT_WORDS | TEXT_WORDS):
                 if not (inside and words & {"header"}):
                     kind = kind or "name"
     return kind
@@ -120,7 +126,7 @@ def lines_of(page):
     The place is "article" inside an article or main element, "heading" in a heading outside it, or nothing.
     """
     tokens = _tokens(page)
-    ends = _matched(tokens)
+    ends, parts, shown = _matched(tokens), _next_parts(tokens), _shown(tokens)
     lines, piece, linked = [], [], 0
     out_until, container_until, hidden_until, heading_until, links = -1, -1, -1, -1, 0
     containers = [i for i, (kind, tag, _) in enumerate(tokens) if kind == "open" and tag in CONTAINER]
@@ -131,9 +137,7 @@ def lines_of(page):
             text = _SPACE.sub(" ", entities.unescape("".join(piece))).strip()
             if text:
                 weight = max(0, len(text) - linked)
-                if container_until >= 0:
-                    weight = max(weight, SURGE)
-                elif _RIGHTS.match(text) and len(text) < 200:
+                if container_until < 0 and _RIGHTS.match(text) and len(text) < 200:
                     weight = 0
                 place = "article" if container_until >= 0 else "heading" if heading_until >= 0 else ""
                 lines.append((text, None if out_until >= 0 else weight, place))
@@ -166,13 +170,17 @@ def lines_of(page):
         if tag in HEADING:
             heading_until = ends.get(i, i)
         if tag in HIDDEN and hidden_until < 0:
-            hidden_until = ends.get(i, _guess(tokens, i))
+            hidden_until = ends.get(i, parts[i])
         elif tag in CONTAINER or tag not in INLINE or "=" in rest:
             why = _aside(tag, rest, container_until >= 0)
             if why and out_until < 0:
-                end = ends.get(i, i if tag in INLINE else _guess(tokens, i))
+                end = ends.get(i, i if tag in INLINE else parts[i])
                 # A wrapper named like a menu that holds the article itself is no menu.
-                holds = why == "name" and any(i < c < end for c in containers)
+                after = bisect_right(containers, i)
+                holds = why == "name" and after < len(containers) and containers[after] < end
+                held = shown[end] - shown[i]
+                if why in ("name", "element") and not containers and held >= max(SURGE, NEARLY_ALL * shown[-1]):
+                    holds = True
                 if not holds:
                     out_until = end
             elif tag in CONTAINER and not why and container_until < 0 and out_until < 0:
@@ -181,20 +189,37 @@ def lines_of(page):
     return lines
 
 
-def _guess(tokens, i):
-    """Where an element that is never closed ends: before the next part of the page."""
-    for j in range(i + 1, len(tokens)):
+def _next_parts(tokens):
+    """Per token, where an element that begins there and is never closed ends: before the next part of the page."""
+    found, after = [len(tokens)] * len(tokens), len(tokens)
+    for j in range(len(tokens) - 1, -1, -1):
+        found[j] = after
         kind, tag, _ = tokens[j]
-        if kind == "open" and (tag in CONTAINER or tag in ASIDE or tag in ("section", "header", "body", "h1")):
-            return j
-        if kind == "close" and tag in ("body", "html", "article", "main"):
-            return j
-    return len(tokens)
+        if (kind == "open" and (tag in CONTAINER or tag in ASIDE or tag in ("section", "header", "body", "h1"))
+                or kind == "close" and tag in ("body", "html", "article", "main")):
+            after = j
+    return found
+
+
+def _shown(tokens):
+    """How many characters outside links stand before each token."""
+    found, total, link = [], 0, False
+    for kind, tag, rest in tokens:
+        found.append(total)
+        if kind == "text":
+            total += 0 if link else len(rest.strip())
+        elif tag == "a":
+            link = kind == "open"
+        elif tag not in INLINE:
+            link = False
+    return [*found, total]
 
 
 def kept_lines(weights, window=WINDOW, surge=SURGE):
-    """Which lines lie between a surge and a dive; `weights` has nan where a stretch must end."""
+    """Which lines lie between a surge and a dive; `weights` has nan where a stretch must end. The sum that is
+    a surge is one number or one per line."""
     weights = np.asarray(weights, dtype=np.float64)
+    surge = np.broadcast_to(surge, weights.shape)
     n, kept = len(weights), np.zeros(len(weights), dtype=bool)
     if not n:
         return kept
@@ -207,7 +232,7 @@ def kept_lines(weights, window=WINDOW, surge=SURGE):
             ahead = run[np.minimum(np.arange(len(own)) + window, len(own))] - run[:-1]
             inside = False
             for i in range(len(own)):
-                if not inside and own[i] > 0 and ahead[i] >= surge:
+                if not inside and own[i] > 0 and ahead[i] >= surge[start + i]:
                     inside = True
                 elif inside and ahead[i] == 0:
                     inside = False
@@ -233,7 +258,7 @@ def main_text(page, window=WINDOW, surge=SURGE):
         lines.append((text, weight, place))
         cut = False
     weights = np.array([weight for _, weight, _ in lines], dtype=np.float64)
-    kept = kept_lines(weights, window, surge)
+    kept = kept_lines(weights, window, np.where([place == "article" for *_, place in lines], min(surge, 1), surge))
     if not kept.any() and _TAG.search(page) and 2 * np.nansum(weights) > sum(len(text) for text, *_ in lines):
         kept = kept_lines(weights, window, min(surge, 1))
     start, across = None, False  # the kept line that all lines from here on lead up to

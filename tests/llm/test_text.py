@@ -62,6 +62,53 @@ def test_pages_run_on_across_asides(page, text):
     assert extraction.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<div class='search-result-article'><p>{LONG}</p></div>", LONG), (f"<p class='notice-board'>{LONG}</p>", LONG),
+    (f"<h1 class='post-header'>Title</h1><p>{LONG}</p>", f"Title {LONG}"), (f"<div class='form'>{LONG}</div>", LONG),
+    (f"<form id='aspnet'><h1>Title</h1><p>{LONG}</p><nav>Menu</nav></form>", f"Title {LONG}"),
+    (f"<div class='comments'><p>{LONG}</p></div>", ""), (f"<nav>{LONG}</nav>", ""),
+    (f"<div class='sidebar'>{LONG} {LONG}</div><article>Short.</article>", "Short."),
+])
+def test_names_do_not_decide_alone(page, text):
+    assert extraction.main_text(page) == text
+
+
+def test_made_pages_without_article():
+    """Pages put together from parts; what is text is known, whatever the names say."""
+    draw = random.Random(5)
+    for _ in range(250):
+        sentence = lambda: " ".join(draw.choice(["word", "longer", "sentences", "of", "the", "page"]) for _ in range(draw.randint(20, 60)))
+        body, expected = [], []
+        title = f"Title {draw.randrange(100)}"
+        name = draw.choice(["", " class='post-header'", " id='search-title'", " class='title'"])
+        body.append(f"<h1{name}>{title}</h1>")
+        expected.append(title)
+        for k in range(draw.randint(1, 6)):
+            text = sentence() if k != 2 else "Short one."
+            body.append(f"<p{draw.choice(['', ' class=text', ' class=has-sidebar'])}>{text}</p>")
+            expected.append(text)
+            if draw.random() < 0.5:
+                body.append(draw.choice(["<div class='ad-box'>Buy now</div>", "<aside>Related: <a href=/x>more of it</a></aside>", "<div class='share'>Tell others</div>",
+                                         "<form>Your mail<input><button>Join</button></form>", "<script>var a = '<p>no</p>';</script>"]))
+        wrapper = draw.choice(["<div>{}</div>", "<div class='page with-sidebar'>{}</div>", "<section id='story-content'>{}</section>", "<div class='widget-body'>{}</div>"])
+        menu = "<ul class='menu'>" + "".join(f"<li><a href='/{i}'>Part {i}</a></li>" for i in range(8)) + "</ul>"
+        page = f"<html><head><title>x</title></head><body><nav>{menu}</nav>{wrapper.format(chr(10).join(body))}<div id='sidebar'><p>Archive</p></div><footer>Imprint</footer></body></html>"
+        assert extraction.main_text(page) == " ".join(expected), page
+
+
+def test_pages_of_many_containers_take_linear_time():
+    import time
+
+    def seconds(n):
+        started = time.process_time()
+        extraction.main_text("<div class=menu><article>x</article></div>" * n)
+        extraction.main_text("<div class=menu>x" * n)
+        return time.process_time() - started
+
+    seconds(100)
+    assert seconds(20_000) < 15 * seconds(4_000)
+
+
 def test_surge_and_dive():
     weights = [5, 0, 0, 0, 40, 50, 3, 0, 2, 0, 0, 0, 7, np.nan, 200, 1]
     kept = extraction.kept_lines(weights)
@@ -376,6 +423,27 @@ def test_ranges_are_coalesced():
 
 # The pipeline.
 
+def test_stages_take_odd_tables(frame, sf):
+    import corpus_pipeline
+
+    kinds = "doc_id bigint, text string, lang string, source string, n_chars bigint, size int, taken string, kept string"
+    prose = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, prose, "en", "a", 1, 1, "x", "y"), (2, prose + " end", "en", "b", 1, 1, "x", "y"), (3, None, None, None, None, None, None, None),
+            (3, "other text of the same id", "en", "a", 1, 1, "x", "y"), (None, prose, "en", "c", 1, 1, "x", "y"), (4, "", "en", "a", 0, 1, "x", "y"),
+            (5, "line of all\n" + prose[::-1], "en", "a", 1, 1, "x", "y"), (6, "line of all", "en", "b", 1, 1, "x", "y"), (7, "line of all", "en", "c", 1, 1, "x", "y")]
+    docs = frame(rows, kinds)
+    got = {name: stage(docs.sparkSession, docs, sf) for name, stage in corpus_pipeline.STAGES}
+    assert all(got[name].columns == docs.columns for name, _ in corpus_pipeline.STAGES[:-1])
+    ids = {name: sorted((r["doc_id"] or 0) for r in df.select("doc_id").collect()) for name, df in got.items()}
+    assert ids["toxicity"] == [0, 1, 2, 3, 3, 4, 5, 6, 7]
+    # The line and the prose of document 1 stay at their first place: 6 and 7 are left empty and go.
+    assert ids["line_dedup"] == [0, 1, 2, 3, 3, 4, 5]
+    assert ids["minhash_near_dedup"] == [0, 1, 3, 3, 4, 5, 6]
+    assert set(ids["mixing"]) <= {0, 1, 2, 3, 5, 6, 7} and set(ids["best_fit_packing"]) == {0, 1, 2, 3, 4, 5, 6, 7}
+    empty = frame([], kinds)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(docs.sparkSession, empty, sf).count() == 0, name
+
 def test_pipeline_stage_by_stage(spark, sf):
     import corpus_pipeline
     from metaloom.llm.common import stored
