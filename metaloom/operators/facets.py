@@ -79,19 +79,32 @@ def facet_counts(records: DataFrame, facets=DATASET_FILTERS, expressions=None) -
     return chosen.select("facet", F.coalesce("shown", "value").alias("value"), "count")
 
 
+# Shares in which a facet is cut when its limit is large.
+SHARES = 32
+
+
 def ordered(facets: DataFrame) -> DataFrame:
     """Facets by name, each with its biggest values first."""
     return facets.orderBy("facet", F.desc("count"), "value")
 
 
-def _ranked(facets):
-    return F.row_number().over(Window.partitionBy("facet").orderBy(F.desc("count"), "value"))
+def _top_of(facets, limit, *within):
+    rank = F.row_number().over(Window.partitionBy("facet", *within).orderBy(F.desc("count"), "value"))
+    return facets.withColumn("rank", rank).filter(F.col("rank") <= limit)
 
 
 def limited(facets: DataFrame, limit) -> DataFrame:
-    """The `limit` biggest values of each facet with their rank. Spark cuts each partition to
-    `limit` rows per facet before the exchange, so a facet of millions of values is no hot task."""
-    return facets.withColumn("rank", _ranked(facets)).filter(F.col("rank") <= limit)
+    """The `limit` biggest values of each facet with their rank.
+
+    Up to a limit that it is set to, Spark cuts each partition to `limit` rows per facet before the
+    exchange. Beyond it a facet is first cut in shares of its values, each by a task of its own, so a facet
+    of millions of values is no hot task at any limit: the last one sees `limit` rows of each share.
+    """
+    cut_by_spark = int(facets.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if limit <= cut_by_spark:
+        return _top_of(facets, limit)
+    shares = facets.withColumn("_share", F.pmod(F.xxhash64("value"), F.lit(SHARES)))
+    return _top_of(_top_of(shares, limit, "_share").drop("_share", "rank"), limit)
 
 
 def omitted(facets: DataFrame, limit) -> DataFrame:

@@ -1,6 +1,8 @@
 """Counts and summaries over a catalogue."""
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from metaloom.operators.links import living
@@ -32,15 +34,18 @@ def _sized(array):
     return F.greatest(F.coalesce(F.size(array), F.lit(0)), F.lit(0))
 
 
-def catalogue_info(records: DataFrame) -> DataFrame:
+def catalogue_info(records: DataFrame, refreshed=None, now=None) -> DataFrame:
     """One row about unscoped records as read, in one pass: what is held, what the scope leaves
-    out, what is stale and what nobody could check. Needs `publisher.id`."""
+    out, what is stale and what nobody could check. Needs `publisher.id`. Where it is told when the copy was
+    refreshed, also how many days ago that was (`now`: today)."""
     files = _sized(F.col("distributions"))
     alive = _sized(living(F.col("distributions")))
     gone = (files > 0) & (alive == 0)
     held, dataset = ~gone, F.col("type") != "data_service"
     unverified = _sized(F.filter(living(F.col("distributions")),
                                  lambda d: d["unverified"].isNotNull()))
+    today = F.current_date() if now is None else F.lit(now).cast("date")
+    age = [] if refreshed is None else [F.date_diff(today, F.lit(refreshed).cast("timestamp").cast("date")).cast("bigint").alias("age_days")]
     return records.agg(
         F.count_if(dataset & held).alias("datasets"),
         F.count_if(~dataset).alias("data_services"),
@@ -49,7 +54,7 @@ def catalogue_info(records: DataFrame) -> DataFrame:
         F.coalesce(F.sum(files - alive), F.lit(0)).alias("dead_distributions"),
         F.count_if(gone).alias("dead_datasets"),
         F.count_if(dataset & held & F.col("stale").isNotNull()).alias("stale_datasets"),
-        F.coalesce(F.sum(F.when(dataset, unverified)), F.lit(0)).alias("unverified_distributions"))
+        F.coalesce(F.sum(F.when(dataset, unverified)), F.lit(0)).alias("unverified_distributions")).select("*", *age)
 
 
 def verdict_summary(verdicts: DataFrame) -> DataFrame:
@@ -70,6 +75,27 @@ def run_summary(records: DataFrame) -> DataFrame:
         F.coalesce(F.sum(_sized(F.col("distributions"))), F.lit(0)).alias("distributions"))
 
 
+class Run:
+    """What a build reads and how long it takes, measured on its way: metrics of the jobs it runs anyway."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.started, self.observed = spark, time.time(), []
+
+    def reads(self, texts: DataFrame, column="text") -> DataFrame:
+        """`texts` as they are; whatever writes them, or what is made of them, counts them once."""
+        seen = Observation()
+        self.observed.append(seen)
+        return texts.observe(seen, F.count(F.lit(1)).alias("texts"), F.coalesce(F.sum(F.octet_length(column)), F.lit(0)).alias("bytes"))
+
+    def summary(self, records: DataFrame) -> DataFrame:
+        """`run_summary` with texts_read, bytes_read and the seconds since the run began."""
+        seen = [o.get for o in self.observed]
+        return run_summary(records).select(
+            "*", F.lit(sum(s["texts"] for s in seen)).cast("bigint").alias("texts_read"),
+            F.lit(sum(s["bytes"] for s in seen)).cast("bigint").alias("bytes_read"),
+            F.lit(time.time() - self.started).alias("seconds"))
+
+
 def duplicate_uris(records: DataFrame) -> DataFrame:
     """URIs on more than one entry."""
     return (records.filter(F.col("uri") != "").groupBy("uri").agg(F.count("*").alias("records"))

@@ -63,14 +63,16 @@ def targeted_lookup(t):
 
 
 @query("assemble_publisher", """
-SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE 'urn:agent:' || o_custkey END AS uri,
-       CASE WHEN o_orderstatus <> 'P' AND c_acctbal > 0 THEN c_name
+SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderpriority IN ('1-URGENT', '2-HIGH')
+            THEN 'urn:gone:' || o_custkey ELSE 'urn:agent:' || o_custkey END AS uri,
+       CASE WHEN o_orderstatus <> 'P' AND o_orderpriority NOT IN ('1-URGENT', '2-HIGH') THEN c_name
             WHEN o_orderpriority = '1-URGENT' THEN 'inline' END AS name
 FROM orders LEFT JOIN customer ON c_custkey = o_custkey""")
 def assemble_publisher(t):
     """Some orders name no publisher, some describe it, and some name one nobody knows."""
     agent = "struct<uri:string,name:map<string,string>,type_uri:string,homepage:string,email:string,identifiers:array<string>>"
-    uri = F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("urn:agent:"), "o_custkey"))
+    known = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "urn:gone:").otherwise("urn:agent:")
+    uri = F.when(F.col("o_orderstatus") != "P", F.concat(known, "o_custkey"))
 
     def described(name, at):
         return F.struct(at.alias("uri"), F.create_map(F.lit("en"), name).alias("name"),
@@ -81,8 +83,7 @@ def assemble_publisher(t):
         F.lit("ctx").alias("context_id"), F.col("o_orderkey").cast("string").alias("entry_id"),
         uri.alias("publisher_uri"),
         F.when(F.col("o_orderpriority") == "1-URGENT", described(F.lit("inline"), uri)).alias("publisher"))
-    agents = (t.customer.filter(F.col("c_acctbal") > 0)
-              .select(described(F.col("c_name"), F.concat(F.lit("urn:agent:"), "c_custkey")).alias("a"))
+    agents = (t.customer.select(described(F.col("c_name"), F.concat(F.lit("urn:agent:"), "c_custkey")).alias("a"))
               .select("a.*"))
     named = assemble.with_publisher(records, agents)
     return named.select(F.col("entry_id").cast("bigint").alias("id"), "publisher.uri",
@@ -291,16 +292,23 @@ SELECT count(*) FILTER (quality IS NULL OR quality <> 0) AS datasets,
        count(DISTINCT source) FILTER (quality IS NULL OR quality <> 0) + (SELECT count(DISTINCT source) FROM s) AS publishers,
        count(*) FILTER (quality = 0) AS dead_distributions, count(*) FILTER (quality = 0) AS dead_datasets,
        CAST(0 AS BIGINT) AS stale_datasets,
-       count(*) FILTER (quality = 1 AND toxic = 1) AS unverified_distributions FROM d""")
+       count(*) FILTER (quality = 1 AND toxic = 1) AS unverified_distributions,
+       date_diff('day', (SELECT max(ts) FROM events)::DATE, DATE '2024-03-01') AS age_days FROM d""")
 def catalogue_info(t):
-    return reports.catalogue_info(store.union_kinds(t.document_records, t.supplier_services))
+    """The copy was refreshed when the log ends."""
+    refreshed = t.events.agg(F.max("ts")).head()[0]
+    return reports.catalogue_info(store.union_kinds(t.document_records, t.supplier_services), refreshed, "2024-03-01")
 
 
 @query("run_summary", """
 SELECT (SELECT count(*) FROM orders) AS datasets, (SELECT count(*) FROM supplier) AS data_services,
-       (SELECT count(*) FROM lineitem) AS distributions""")
+       (SELECT count(*) FROM lineitem) AS distributions, (SELECT count(*) FROM pages) AS texts_read,
+       (SELECT CAST(sum(strlen(html)) AS BIGINT) FROM pages) AS bytes_read""")
 def run_summary(t):
-    return reports.run_summary(store.union_kinds(t.order_records, t.supplier_services))
+    """The pages are what the build read."""
+    run = reports.Run(t.spark)
+    run.reads(t.pages, "html").write.format("noop").mode("overwrite").save()
+    return run.summary(store.union_kinds(t.order_records, t.supplier_services)).drop("seconds")
 
 
 @query("duplicate_keys", """

@@ -87,6 +87,18 @@ def facets_limited(t):
     return facets.limited(facets_parts(t), 3)
 
 
+@query("facets_limited_deep", """
+WITH c AS (SELECT 'order' AS facet, CAST(l_orderkey AS VARCHAR) AS value, count(*) AS count FROM lineitem GROUP BY ALL
+           UNION ALL SELECT 'part', CAST(l_partkey AS VARCHAR), count(*) FROM lineitem GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY facet ORDER BY count DESC, value) AS rank FROM c)
+SELECT facet, value, count, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5000""")
+def facets_limited_deep(t):
+    """More values than Spark's own early cut takes."""
+    both = F.array(F.struct(F.lit("order").alias("facet"), F.col("l_orderkey").alias("key")), F.struct(F.lit("part").alias("facet"), F.col("l_partkey").alias("key")))
+    counted = t.lineitem.select(F.inline(both)).groupBy("facet", F.col("key").cast("string").alias("value")).agg(F.count("*").alias("count"))
+    return facets.limited(counted, 5_000)
+
+
 @query("facets_omitted", SQL_PART_FACETS + """
 SELECT facet, count(*) - 3 AS omitted FROM c GROUP BY facet HAVING count(*) > 3""")
 def facets_omitted(t):
@@ -380,6 +392,15 @@ def page_window(t):
     return windows.page(rows, limit=25, offset=50, order=["uri"])
 
 
+@query("page_deep", """
+SELECT 'https://data.example.org/order/' || o_orderkey AS uri, o_orderpriority FROM orders
+ORDER BY uri LIMIT 25 OFFSET (SELECT count(*) * 3 // 4 FROM orders)""")
+def page_deep(t):
+    """A page behind three quarters of the result."""
+    pages = windows.Pages(t.orders.select(F.concat(F.lit("https://data.example.org/order/"), "o_orderkey").alias("uri"), "o_orderpriority"), ["uri"])
+    return pages.page(25, pages.total * 3 // 4)
+
+
 @query("page_order", """
 SELECT source AS context_id, CAST(doc_id AS VARCHAR) AS entry_id FROM documents
 ORDER BY context_id, entry_id""")

@@ -25,11 +25,11 @@ def nation_keys(t):
 
 
 def nation_table(t):
-    """The publisher table: some customers' URIs, under their nation, with an alias each nation."""
-    rich = t.customer.filter(F.col("c_acctbal") > 9900).join(
-        t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return rich.select(F.lower("n_name").alias("id"),
-                       F.concat(F.lit("https://org.example.org/"), "c_custkey").alias("uri"),
+    """The publisher table: a row per customer under their nation, with an alias; only some are listed under
+    the URI that records give them, the others under one that nobody uses."""
+    customers = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    base = F.when(F.col("c_acctbal") > 9900, "https://org.example.org/").otherwise("https://nobody.example.org/")
+    return customers.select(F.lower("n_name").alias("id"), F.concat(base, "c_custkey").alias("uri"),
                        F.concat(F.lit("Alias "), "c_custkey").alias("alias"),
                        F.lit(None).cast("string").alias("org_no"))
 
@@ -82,7 +82,7 @@ SQL_KEYS = SQL_AGENTS + f"""
         UNION ALL SELECT 'SE-' || c_custkey, id, 3 FROM a
         UNION ALL SELECT {sql_slug('c_name')}, id, 4 FROM a
         UNION ALL SELECT 'alias_' || c_custkey, 'nation_' || c_nationkey, 1 FROM customer
-            WHERE c_acctbal > 9900 AND 'nation_' || c_nationkey IN (SELECT id FROM a)),
+            WHERE 'nation_' || c_nationkey IN (SELECT id FROM a)),
 f AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY tier, id) AS n FROM k)
 """
 

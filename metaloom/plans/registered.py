@@ -9,7 +9,7 @@ from metaloom.operators.filters import facet_filter
 from metaloom.operators.links import scope
 from metaloom.plans.registry import ORACLES, QUERIES, query  # noqa: F401
 
-for _area in ("facets", "quality", "publishers", "assembly", "vocabulary", "graph", "entities", "store"):
+for _area in ("facets", "quality", "publishers", "assembly", "vocabulary", "graph", "entities", "store", "readers"):
     importlib.import_module(f"metaloom.plans.queries_{_area}")
 
 

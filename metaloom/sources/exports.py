@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metaloom.functions.text import localized_text
+from metaloom.operators.windows import TOTAL_ORDER
 
 
 def flat_distributions(datasets: DataFrame, language="sv") -> DataFrame:
@@ -26,13 +27,17 @@ def to_json(rows: DataFrame) -> DataFrame:
 
 
 def result_document(window: DataFrame, facets: DataFrame, omitted: DataFrame, total, offset=0,
-                    limit=None) -> DataFrame:
-    """One row `{total, offset, limit, datasets, facets, facets_omitted}` of a page of results.
+                    limit=None, order=TOTAL_ORDER) -> DataFrame:
+    """One row `{total, offset, limit, datasets, facets, facets_omitted}` of a page of results, its datasets
+    by `order`.
 
     `window` is a page and `facets` are limited, so both are bounded by what was asked for. For
     an unpaged result write `to_json` of each part instead.
     """
-    rows = window.agg(F.collect_list(F.struct("*")).alias("datasets"))
+    placed = window.select(F.struct(*order).alias("place"), F.struct("*").alias("row"))
+    held = F.array_sort(F.collect_list(F.struct("place", "row")),
+                        lambda a, b: F.when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0))
+    rows = placed.agg(F.transform(held, lambda x: x["row"]).alias("datasets"))
     values = F.transform(F.array_sort(F.collect_list(F.struct("rank", "value", "count", "label")),
                                        lambda a, b: a["rank"] - b["rank"]),
                          lambda v: F.struct(v["value"].alias("value"), v["count"].alias("count"),

@@ -375,3 +375,37 @@ def test_pages_by_place(spark):
         seen += [r["b"] for r in got]
         last = (got[-1]["a"], got[-1]["b"])
     assert seen == [r["b"] for r in page(table, order=order).collect()]
+
+
+def test_a_deep_page_opens_the_files_it_lies_in(spark):
+    from metaloom.operators.windows import Pages
+
+    pages = Pages(spark.range(1_000).selectExpr("cast(id % 7 AS int) AS a", "format_string('%04d', id) AS b"), ["a", "b"], file_rows=60)
+    expected = sorted((i % 7, f"{i:04d}") for i in range(1_000))
+    assert pages.total == 1_000 and len(pages.files) > 1
+    for limit, offset in ((10, 0), (25, 730), (1_000, 0), (5, 998), (5, 1_000), (0, 3), (None, 990), (400, 300)):
+        got = [tuple(r) for r in pages.page(limit, offset).collect()]
+        assert got == expected[offset:None if limit is None else offset + limit], (limit, offset)
+    one = pages.page(3, 61)
+    assert len(one.inputFiles()) == 1
+
+
+def test_a_facet_of_many_values_is_cut_before_its_task(spark):
+    from metaloom.operators import facets
+
+    counted = spark.range(9_000).selectExpr("'f' AS facet", "cast(id AS string) AS value", "id % 50 AS count")
+    expected = sorted(((-(i % 50), str(i)) for i in range(9_000)))[:3_000]
+    got = facets.limited(counted, 3_000)
+    assert [r["value"] for r in got.orderBy("rank").collect()] == [v for _, v in expected]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window ") == 2 and "_share" in plan
+
+
+def test_a_result_document_keeps_its_order(spark):
+    from metaloom.sources.exports import result_document
+
+    window = spark.range(50).repartition(5).selectExpr("concat('u', 99 - id) AS uri", "'c' AS context_id", "cast(id AS string) AS entry_id", "map('en', 'x') AS title")
+    facets_ = spark.createDataFrame([("f", "v", 1, 1, {"en": "V"})], "facet string, value string, count bigint, rank int, label map<string,string>")
+    omitted = spark.createDataFrame([("f", 2)], "facet string, omitted bigint")
+    row = result_document(window, facets_, omitted, total=50).head()
+    assert [d["uri"] for d in row["datasets"]] == sorted(f"u{99 - i}" for i in range(50)) and row["datasets"][0]["title"] == {"en": "x"}
