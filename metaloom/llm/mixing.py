@@ -22,23 +22,6 @@ BLOCK = 16
 SHARD_ROWS = 50_000
 
 
-def targets(sizes, weights, most=MOST):
-    """Shares of the total by weight, stopped at `most` times the size, the excess shared out again."""
-    sizes, weights = np.asarray(sizes, dtype=np.float64), np.asarray(weights, dtype=np.float64)
-    total, limit = sizes.sum(), most * sizes
-    full = np.zeros(len(sizes), dtype=bool)
-    out = np.zeros(len(sizes))
-    while not full.all():
-        share = weights / weights[~full].sum() * (total - limit[full].sum())
-        out = np.where(full, limit, share)
-        above = ~full & (out > limit)
-        if not above.any():
-            break
-        full |= above
-        out = np.where(full, limit, out)
-    return out
-
-
 def apportion(weights, seats):
     """Seats by highest quotients weight/(2k+1); ties go to the earlier place."""
     weights = np.asarray(weights, dtype=np.float64)
@@ -63,15 +46,64 @@ def apportion(weights, seats):
     return got
 
 
-def _plan_sources(block, weights, most):
-    def plan(sources: pd.DataFrame) -> pd.DataFrame:
-        order = sorted(range(len(sources)), key=lambda i: (sources["_source"].iloc[i] is None, sources["_source"].iloc[i] or ""))
-        sources = sources.iloc[order].reset_index(drop=True)
-        weight = [weights[i % len(weights)] for i in range(len(sources))]
-        target = targets(sources["source_size"], weight, most)
-        blocks = int(sources["source_size"].sum()) // block
-        return sources.assign(target=target, _blocks=apportion(target, blocks))
-    return plan
+def _targets(sources: DataFrame, most) -> DataFrame:
+    """Adds `target`: the share of the total by weight, stopped at `most` times the size, the excess shared out again.
+
+    All sources that are not stopped have one multiple of their weight; each round adds up what is stopped
+    and raises the multiple, until none is above its stop.
+    """
+    limit, total = F.col("source_size") * most, sources.agg(F.sum("source_size")).head()[0] or 0
+    if not total:
+        return sources.withColumn("target", F.lit(0.0))
+    share, stopped = 0.0, -1
+    while True:
+        above = limit < F.col("weight") * share
+        now, held, rest = sources.agg(F.count_if(above), F.sum(F.when(above, limit)), F.sum(F.when(~above, F.col("weight")))).head()
+        if now == stopped or not rest:
+            return sources.withColumn("target", F.when(above, limit.cast("double")).otherwise(F.col("weight") * share))
+        share, stopped = float(total - (held or 0)) / rest, now if share else -1
+
+
+def _numbered(rows: DataFrame, *order) -> DataFrame:
+    """Adds `place`, from 0 in an order: sorted and numbered across partitions, one row at a time in none."""
+    numbered = rows.orderBy(*order).rdd.zipWithIndex().map(lambda row: (*row[0], row[1]))
+    return rows.sparkSession.createDataFrame(numbered, rows.schema.add("place", "long"))
+
+
+def _seated(sources: DataFrame, seats) -> DataFrame:
+    """Adds `_blocks`: seats by highest quotients target/(2k+1); ties go to the earlier place.
+
+    A source's seats are its target times a multiplier, rounded, and n sources round off n/2 seats at most. So
+    the multiplier that gives n seats too few hands out nearly all at once, and the next quotients of each
+    source, up to the one that gives n too many, hold all that are left: a few per source, which are sorted.
+    """
+    total, n = sources.agg(F.sum("target"), F.count_if(F.col("target") > 0)).head()
+    if seats <= 0 or not total:
+        return sources.withColumn("_blocks", F.lit(0).cast("bigint"))
+    target, few, many = F.col("target"), max(0.0, (seats - n) / total), (seats + n) / total
+    given = sources.withColumn("_given", F.floor(target * few + 0.5).cast("bigint"))
+    left = seats - given.agg(F.sum("_given")).head()[0]
+    last = F.col("_given") + F.ceil(target * (many - few)).cast("bigint") + 1
+    quotients = (given.where("target > 0").withColumn("_k", F.explode(F.sequence(F.col("_given"), last)))
+                 .select(F.col("place").alias("_of"), (target / (F.col("_k") * 2 + 1)).alias("_quotient")))
+    more = (_numbered(quotients, F.desc("_quotient"), "_of").where(F.col("place") < left)
+            .groupBy(F.col("_of").alias("place")).agg(F.count("*").alias("_more")))
+    return (given.join(more, "place", "left").withColumn("_blocks", F.col("_given") + F.coalesce("_more", F.lit(0)))
+            .drop("_given", "_more"))
+
+
+def planned(sources: DataFrame, block=BLOCK, weights=WEIGHTS, most=MOST) -> DataFrame:
+    """(_source, source_size, target, _blocks) of `(_source, source_size)`, one row each.
+
+    The weights repeat over the sources in the order of their names, null last. Sources are never gathered: they
+    are numbered across partitions, and targets and seats come from sums over them.
+    """
+    ranked = _numbered(sources.select("_source", "source_size"), F.col("_source").asc_nulls_last())
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    ranked = stored(ranked.withColumn("weight", weight), "sources")
+    aimed = stored(_targets(ranked, most), "targets")
+    seats = (aimed.agg(F.sum("source_size")).head()[0] or 0) // block
+    return _seated(aimed, seats).select("_source", "source_size", "target", "_blocks")
 
 
 def _plan_shards(shards: pd.DataFrame) -> pd.DataFrame:
@@ -96,9 +128,8 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
             .withColumn("_source", F.col(source_col).cast("string")))
     held = stored(rows.groupBy("_source", "_shard").agg(F.sum("size").alias("_held")), "shards")
     sources = held.groupBy("_source").agg(F.sum("_held").alias("source_size"))
-    planned = sources.groupBy().applyInPandas(
-        _plan_sources(block, weights, most), "_source string, source_size bigint, target double, _blocks bigint")
-    quotas = (held.join(planned.withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
+    plan = stored(planned(sources, block, weights, most), "planned")
+    quotas = (held.join(plan.withColumnRenamed("_source", "_s"), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
               .groupBy("_source").applyInPandas(_plan_shards, "_source string, _shard bigint, _held bigint, "
                                                 "source_size bigint, target double, _blocks bigint"))
     quotas = stored(quotas, "quotas")

@@ -296,8 +296,6 @@ def test_targets_and_seats():
     draw = random.Random(8)
     for _ in range(200):
         n = draw.randint(1, 9)
-        sizes, weights = [draw.choice([0, 1, 5, 50, 900]) for _ in range(n)], [draw.choice([5, 2, 1]) for _ in range(n)]
-        assert mixing.targets(sizes, weights) == pytest.approx(brute_targets(sizes, weights, 3))
         votes, seats = [draw.randint(0, 40) for _ in range(n)], draw.randint(0, 60)
         want = [0] * n
         for _ in range(seats if sum(votes) else 0):  # one seat after another to the highest quotient
@@ -307,6 +305,16 @@ def test_targets_and_seats():
     assert mixing.apportion([3] * 1000 + [5000], 400).sum() == 400
 
 
+@pytest.mark.parametrize("sizes, block", [([900, 0, 50, 50, 50, 5, 1, 900, 900, 5], 1), ([1000] * 40, 7), ([0, 0], 1), ([3_000_000_000, 17, 2_000_000], 16)])
+def test_sources_are_planned_by_sums(frame, sizes, block):
+    names = [None if i == 3 else f"s{i:02d}" for i in range(len(sizes))]
+    got = {r["_source"]: r for r in mixing.planned(frame(list(zip(names, sizes)), "_source string, source_size bigint"), block).collect()}
+    order = sorted(range(len(sizes)), key=lambda i: (names[i] is None, names[i] or ""))
+    want = brute_targets([sizes[i] for i in order], [(5, 2, 1)[k % 3] for k in range(len(order))], 3)
+    assert [got[names[i]]["target"] for i in order] == pytest.approx(want)
+    assert [got[names[i]]["_blocks"] for i in order] == mixing.apportion([got[names[i]]["target"] for i in order], sum(sizes) // block).tolist()
+
+
 def test_mix(frame):
     draw = random.Random(9)
     rows = [(i, " ".join(f"{i}-{k}" for k in range(draw.choice([0, 1, 20, 90]))), draw.choice(["a", "a", "a", "b", "B", "c", None]), 0)
