@@ -1,22 +1,27 @@
 """Language-model scores by a weighted backoff automaton.
 
-Words and word pairs of the training texts, smoothed, become an automaton: the root, a state per known
-word, arcs that read a word and weigh its log-probability after the state, and a failure arc from every
-state to the root. Texts are read once from left to right; each carries its state along and adds up the
-weights it passes.
+N-grams of the training texts, smoothed, become an automaton: the root, a state per known history of up to
+`order` - 1 words, arcs that read a word and weigh its log-probability after the state, and a failure arc
+from every state to that of the history without its first word, from single words to the root. Texts are
+read once from left to right; each carries its state along and adds up the weights it passes.
 
     p(w)     = (c(w) + 1) / (N + V + 1), the unknown words sharing one part
-    p(w | h) = (1 - l) c(h w) / c(h) + l p(w), with l the share of pairs seen once after words about as
-               frequent as h (the weight of the failure arc)
+    p(w | h) = (1 - l) c(h w) / c(h) + l p(w | h without its first word), with l the share of n-grams seen
+               once after histories of that length about as frequent as h (the weight of the failure arc)
 
 No task holds the model. Texts are gathered into chunks; a chunk asks for the counts of its own words
-and pairs, as sorted 56-bit hashes cut into ranges. The task of a range adds up the training counts of
+and n-grams, as sorted 56-bit hashes cut into ranges. The task of a range adds up the training counts of
 all chunks and answers each chunk in the order it asked. So both tables grow with the corpus while each
-task holds one range or one chunk. A frequent pair is one entry per chunk.
+task holds one range or one chunk. A frequent n-gram is one entry per chunk.
+
+A chunk cuts its hashes into at most `FAN` ranges. Where the corpus needs more, groups of chunks merge what
+they ask within such a range, cut the sum into finer ranges, and so on; answers come down the same way. So
+rows grow with the corpus, and not with chunks times ranges.
 """
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -30,6 +35,8 @@ from pyspark.sql import functions as F
 from metaloom.llm.common import ASCII_LOWER, WORD, stored
 
 CHUNK_TOKENS, RANGE_KEYS = 1_000_000, 2_000_000
+# Ranges into which one chunk, or one group of chunks, cuts what it asks.
+FAN = 1024
 KEY_BITS = 56
 # Places in a chunk's vocabulary of the end of a text, a token like a word, and of its beginning, which is none.
 END, BEGIN = 0, 1
@@ -56,6 +63,19 @@ def _mixed(x):
     return (x ^ (x >> np.uint64(31))) >> np.uint64(64 - KEY_BITS)
 
 
+class Grams(NamedTuple):
+    """A chunk's n-grams of one length, by sorted key.
+
+    `context` is the place of the history among the n-grams one shorter, `suffix` that of the n-gram without its
+    first word (of words: places in the vocabulary), `at` each token's n-gram, -1 where its text begins too late.
+    """
+    keys: np.ndarray
+    counts: np.ndarray
+    context: np.ndarray
+    suffix: np.ndarray
+    at: np.ndarray
+
+
 class Chunk:
     """Tokens of some texts as places in a vocabulary of their own; each text ends with END."""
 
@@ -75,67 +95,105 @@ class Chunk:
         order = np.argsort(keys)
         return keys[order], counts[order], order
 
-    def before(self):
-        """The token that stands before each, BEGIN before the first."""
-        out = np.empty_like(self.tokens)
-        out[1:] = self.tokens[:-1]
-        out[self.first] = BEGIN
+    def before(self, at, first):
+        """What `at` has for the token before each; `first` for the first of a text."""
+        out = np.empty_like(at)
+        out[1:] = at[:-1]
+        out[self.first] = first
         return out
 
-    def pairs(self):
-        """Sorted keys, training counts, place of the first word, and each token's pair in that order."""
-        size = len(self.vocabulary)
-        code, inverse = np.unique(self.before().astype(np.int64) * size + self.tokens, return_inverse=True)
-        counts = np.bincount(inverse[self.training()], minlength=len(code))
-        context, word = code // size, code % size
-        with np.errstate(over="ignore"):
-            keys = _mixed(_mixed(self.vocabulary[context]) * np.uint64(0x9E3779B97F4A7C15) + self.vocabulary[word])
-        order = np.argsort(keys)
-        rank = np.empty(len(order), dtype=np.int64)
-        rank[order] = np.arange(len(order))
-        return keys[order], counts[order], context[order], rank[inverse]
+    def grams(self, order):
+        """The n-grams of 2, 3, ... `order` words."""
+        size, training, out = len(self.vocabulary), self.training(), []
+        keys, at = _mixed(self.vocabulary), self.tokens.astype(np.int64)
+        for length in range(2, order + 1):
+            history = self.before(at, BEGIN if length == 2 else -1)
+            there = history >= 0
+            code, inverse = np.unique(history[there] * size + self.tokens[there], return_inverse=True)
+            counts = np.bincount(inverse[training[there]], minlength=len(code))
+            suffix = np.empty(len(code), dtype=np.int64)
+            suffix[inverse] = at[there]
+            context, word = code // size, code % size
+            with np.errstate(over="ignore"):
+                found = _mixed(keys[context] * np.uint64(0x9E3779B97F4A7C15) + self.vocabulary[word])
+            place = np.argsort(found)
+            rank = np.empty(len(place), dtype=np.int64)
+            rank[place] = np.arange(len(place))
+            keys, at = found[place], np.full(len(at), -1, dtype=np.int64)
+            at[there] = rank[inverse]
+            out.append(Grams(keys, counts[place], context[place], suffix[place], at))
+        return out
 
 
-class Automaton:
-    """The part of the model that one chunk can reach.
+class States:
+    """States of histories of one length: whether training has them, and what their failure arcs weigh."""
 
-    `root` weighs a word read at the root; a known word is the state that reading it leads to. `fail`
-    weighs a state's failure arc; an arc of a pair leads to the state of its word.
-    """
-
-    def __init__(self, counts, total, distinct, shares):
+    def __init__(self, counts, shares):
         self.counts = counts
-        self.root = np.log10((counts + 1) / (total + distinct + 1))
         self.state = counts > 0
         self.share = shares[np.log2(np.maximum(counts, 1)).astype(np.int64)]
         self.fail = np.log10(self.share)
 
-    def arcs(self, context, word, pair_counts):
-        """Weights of arcs; nan where there is none."""
-        seen = (pair_counts > 0) & self.state[context]
-        share, base = self.share[context], 10.0 ** self.root[word]
+    def weigh(self, context, backed, counts):
+        """Weights of arcs; nan where there is none. `backed` weighs the same word after the failure arc."""
+        seen = (counts > 0) & self.state[context]
+        share = self.share[context]
         with np.errstate(divide="ignore", invalid="ignore"):
-            weight = np.log10((1 - share) * pair_counts / self.counts[context] + share * base)
+            weight = np.log10((1 - share) * counts / self.counts[context] + share * 10.0 ** backed)
         return np.where(seen, weight, np.nan)
 
-    def traverse(self, chunk, arc):
+
+class Automaton(States):
+    """The part of the model that one chunk can reach: its words, and longer n-grams as they are added.
+
+    `root` weighs a word read at the root; a known word is the state that reading it leads to.
+    """
+
+    def __init__(self, counts, total, distinct, shares):
+        super().__init__(counts, shares)
+        self.root = np.log10((counts + 1) / (total + distinct + 1))
+        self.weights, self.longest = self.root, self
+        self.levels = []
+
+    def arcs(self, context, word, pair_counts):
+        """Weights of the arcs of pairs; nan where there is none."""
+        return self.weigh(context, self.root[word], pair_counts)
+
+    def add(self, grams, counts, shares, chunk):
+        """Takes in the n-grams one longer than those before. `shares` are those of failure arcs from them."""
+        history = chunk.before(chunk.tokens.astype(np.int64) if not self.levels else self.at,
+                               BEGIN if not self.levels else -1)
+        self.weights = self.longest.weigh(grams.context, self.weights[grams.suffix], counts)
+        arc, fail = np.full(len(history), np.nan), np.zeros(len(history))
+        reads, fails = grams.at >= 0, history >= 0
+        arc[reads] = self.weights[grams.at[reads]]
+        fail[fails] = self.longest.fail[history[fails]]
+        self.levels.append((arc, ~np.isnan(arc), fail))
+        self.at, self.longest = grams.at, States(counts, shares)
+
+    def traverse(self, chunk):
         """log10 probability of every text: all advance by a word at a time, each carrying its state.
 
-        `arc` has the weight of the arc of each token from the word before it. -1 is the root.
+        A state is told by the length of its history, as the words are at hand; 0 is the root.
         """
         order = np.argsort(-chunk.lengths, kind="stable")
         lengths, first = chunk.lengths[order], chunk.first[order]
-        score = np.zeros(len(order))
-        state = np.full(len(order), BEGIN if self.state[BEGIN] else -1, dtype=np.int64)
+        score, top = np.zeros(len(order)), len(self.levels)
+        state = np.full(len(order), min(top, int(self.state[BEGIN])), dtype=np.int64)
+        known = np.minimum(self.state, top).astype(np.int64)
         ends = np.searchsorted(-lengths, -np.arange(int(lengths[0]) if len(lengths) else 0), side="left")
         for step, n in enumerate(ends.tolist()):  # the n longest texts still have a word here
             at = first[:n] + step
-            word = chunk.tokens[at]
-            here = state[:n]
-            weight = arc[at]
-            backed = self.root[word] + np.where(here >= 0, self.fail[here], 0.0)
-            score[:n] += np.where((here >= 0) & ~np.isnan(weight), weight, backed)
-            state[:n] = np.where(self.state[word], word, -1)
+            here, own, word = state[:n], score[:n], chunk.tokens[at]
+            backed = self.root[word]
+            reached = known[word]
+            # From the shortest history up, what a state of each length adds and leads to.
+            for length, (arc, there, fail) in enumerate(self.levels, 1):
+                reads = there[at]
+                backed = np.where(here >= length, np.where(reads, arc[at], backed + fail[at]), backed)
+                reached = np.where(reads & (here >= length), min(length + 1, top), reached)
+            own += backed
+            state[:n] = reached
         out = np.empty(len(order))
         out[order] = score
         return out
@@ -204,76 +262,120 @@ def _chunk(row):
                  unpack(row["held"], "u1").astype(bool))
 
 
-def _parts(keys, ranges):
-    """Where each range begins in sorted keys."""
-    edges = (np.arange(ranges + 1, dtype=object) * (1 << KEY_BITS) // ranges)
-    return np.searchsorted(keys, np.array([int(e) for e in edges[:-1]], dtype=np.uint64)).tolist() + [len(keys)]
+def _parts(keys, ranges, first, n):
+    """Where each of `n` ranges from `first` on begins in sorted keys, of `ranges` in all."""
+    edges = np.arange(first, first + n, dtype=object) * (1 << KEY_BITS) // ranges
+    return np.searchsorted(keys, np.array([int(e) for e in edges], dtype=np.uint64)).tolist() + [len(keys)]
+
+
+def _wide(counts):
+    """Counts in 32 bits, or in 64 where the largest needs them."""
+    return counts.astype("<u4" if counts.max(initial=0) <= 0xFFFFFFFF else "<u8")
+
+
+def _counted(data, n):
+    """`n` packed counts of either width."""
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8)
+    return unpack(data, f"<u{len(planes) // n if n else 4}").astype(np.int64)
 
 
 ASKED = "chunk bigint, r int, keys binary, counts binary, bands binary"
 
 
-def _asked(chunk, keys, counts, bands, ranges):
-    cuts = _parts(keys, ranges)
-    rows = [(chunk, r, pack(keys[a:b]), pack(counts[a:b].astype("<u4")), pack(bands[a:b]))
-            for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-    columns = list(zip(*rows)) or [[]] * 5
+def _cuts(chunk, keys, counts, bands, ranges, first, n):
+    """What a chunk, or a group of them, asks of each range."""
+    cuts = _parts(keys, ranges, first, n)
+    return [(chunk, first + i, pack(keys[a:b]), pack(_wide(counts[a:b])), pack(bands[a:b]))
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+
+
+def _asked(*asks):
+    columns = list(zip(*_cuts(*asks))) or [[]] * 5
     kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                       names=[c.split()[0] for c in ASKED.split(", ")])
 
 
-def _ask_words(ranges):
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in _rows(batch):
-                keys, counts, order = _chunk(row).words()
-                yield _asked(row["chunk"], keys, counts, (order != BEGIN).astype(np.uint8), ranges)
-    return ask
-
-
 def _answers(row, column):
     """The counts of all ranges; each begins with the width of its numbers."""
-    parts = [a["counts"] for a in sorted(row[column], key=lambda a: a["r"])]
-    return np.concatenate([unpack(p[1:], f"<u{p[0]}") for p in parts]).astype(np.int64)
+    parts = [a["counts"] for a in sorted(row[column] or [], key=lambda a: a["r"])]
+    return np.concatenate([np.zeros(0, "<u4"), *(unpack(p[1:], f"<u{p[0]}") for p in parts)]).astype(np.int64)
+
+
+def _told(answer):
+    """Counts as `_answers` reads them."""
+    answer = _wide(answer)
+    return bytes([answer.itemsize]) + pack(answer)
 
 
 def _word_counts(chunk, row):
     """Training counts of a chunk's vocabulary."""
     _, _, order = chunk.words()
     counts = np.empty(len(order), dtype=np.int64)
-    counts[order] = _answers(row, "words")
+    counts[order] = _answers(row, "n1")
     return counts
 
 
-def _ask_pairs(ranges):
-    """A pair's band is the logarithm of the count of its first word; 255 where that is unknown."""
+def _ask(length, ranges):
+    """Asks for n-grams of a length. Their band is the logarithm of the count of their history; 255 where that is
+    unknown. Of words it is 1, of the beginning 0."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in _rows(batch):
                 chunk = _chunk(row)
-                frequent = _word_counts(chunk, row)
-                keys, counts, context, _ = chunk.pairs()
-                band = np.where(frequent > 0, np.log2(np.maximum(frequent, 1)), 255).astype(np.uint8)
-                yield _asked(row["chunk"], keys, counts, band[context], ranges)
+                if length == 1:
+                    keys, counts, order = chunk.words()
+                    bands = (order != BEGIN).astype(np.uint8)
+                else:
+                    keys, counts, context, _, _ = chunk.grams(length)[-1]
+                    frequent = _word_counts(chunk, row) if length == 2 else _answers(row, f"n{length - 1}")
+                    bands = np.where(frequent > 0, np.log2(np.maximum(frequent, 1)), 255).astype(np.uint8)[context]
+                yield _asked(row["chunk"], keys, counts, bands, ranges, 0, ranges)
     return ask
 
 
+def _together(rows):
+    """Keys and counts of several asks, one after another, and how many keys each has."""
+    keys = [unpack(k, "<u8") for k in rows["keys"]]
+    counts = [_counted(c, len(k)) for c, k in zip(rows["counts"], keys)]
+    return np.concatenate(keys), np.concatenate(counts), [len(k) for k in keys]
+
+
+def _merge(ranges, fan):
+    """Adds up what a group asks within one range, and cuts it into finer ones."""
+    def merge(key, rows: pd.DataFrame) -> pd.DataFrame:
+        keys, counts, _ = _together(rows)
+        bands = np.concatenate([unpack(b, "u1") for b in rows["bands"]])
+        unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        total = np.zeros(len(unique), dtype=np.int64)
+        np.add.at(total, inverse, counts)
+        out = _cuts(int(key[0]), unique, total, bands[first], ranges, int(key[1]) * fan, fan)
+        return pd.DataFrame(out, columns=[c.split()[0] for c in ASKED.split(", ")])
+    return merge
+
+
+def _hand_down(key, asks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    """Gives what a group was answered to those who asked."""
+    keys, _, sizes = _together(asks)
+    _, inverse = np.unique(keys, return_inverse=True)
+    answer = _answers({"n": answers.to_dict("records")}, "n")[inverse]
+    ends = np.cumsum(sizes)
+    told = [_told(answer[e - n:e]) for e, n in zip(ends, sizes)]
+    return pd.DataFrame({"chunk": asks["chunk"], "r": asks["r"], "counts": told})
+
+
 ANSWERED = "chunk bigint, r int, counts binary, band int, n bigint, ones bigint, kinds bigint"
 
 
 def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     """Adds up one range. Rows without a chunk carry per band the tokens, the keys seen once and the keys."""
-    keys = np.concatenate([unpack(k, "<u8") for k in rows["keys"]])
-    counts = np.concatenate([unpack(c, "<u4") for c in rows["counts"]]).astype(np.int64)
+    keys, counts, sizes = _together(rows)
     bands = np.concatenate([unpack(b, "u1") for b in rows["bands"]])
     unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
     total = np.bincount(inverse, counts, minlength=len(unique)).astype(np.int64)
-    width = 4 if total.max(initial=0) <= 0xFFFFFFFF else 8
-    answer, at, out = total[inverse].astype(f"<u{width}"), 0, []
-    for chunk, k in zip(rows["chunk"], rows["keys"]):
-        n = len(unpack(k, "<u8"))
-        out.append((chunk, rows["r"].iloc[0], bytes([width]) + pack(answer[at:at + n]), None, None, None, None))
+    answer, at, out = total[inverse], 0, []
+    for chunk, n in zip(rows["chunk"], sizes):
+        out.append((chunk, rows["r"].iloc[0], _told(answer[at:at + n]), None, None, None, None))
         at += n
     band, seen = bands[first], total > 0
     for b in np.unique(band[seen]).tolist():
@@ -283,62 +385,87 @@ def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     return frame.astype({c: "Int64" for c in ("chunk", "r", "band", "n", "ones", "kinds")})
 
 
-def _answered(asked: DataFrame, name):
-    """The answers, a list of ranges per chunk; and sums per band (at most 256 rows)."""
+def _widths(ranges):
+    """Ranges at each level, the last of them `ranges` or more; a range has the same number of finer ones throughout."""
+    levels = 1
+    while FAN ** levels < ranges:
+        levels += 1
+    fan = 1
+    while fan ** levels < ranges:
+        fan += 1
+    return [fan ** (i + 1) for i in range(levels)]
+
+
+def _answered(chunks, length, sizes):
+    """The answers, a list of ranges per chunk; and sums per band (at most 256 rows). `sizes` are the numbers of
+    chunks and of keys."""
+    name, (fan, *finer) = f"n{length}", _widths(max(1, -(-sizes[1] // RANGE_KEYS)))
+    asked, groups = chunks.mapInArrow(_ask(length, fan), ASKED), []
+    for level, ranges in enumerate(finer, 1):
+        unit = F.pmod(F.xxhash64("chunk"), F.lit(-(-sizes[0] // fan ** level)))
+        asked = stored(asked, f"asked{length}").withColumn("unit", unit).groupBy("unit", "r")
+        groups.append(asked)
+        asked = asked.applyInPandas(_merge(ranges, fan), ASKED)
     answers = stored(asked.groupBy("r").applyInPandas(_answer, ANSWERED), name)
     bands = (answers.where("chunk is null").groupBy("band")
              .agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"), F.sum("kinds").alias("kinds")).collect())
-    lists = (answers.where("chunk is not null").groupBy("chunk")
-             .agg(F.collect_list(F.struct("r", "counts")).alias(name)))
+    told = answers.where("chunk is not null").select("chunk", "r", "counts")
+    for asked in reversed(groups):
+        told = told.groupBy(F.col("chunk").alias("unit"), F.floor(F.col("r") / fan).cast("int").alias("r"))
+        told = asked.cogroup(told).applyInPandas(_hand_down, "chunk bigint, r int, counts binary")
+    lists = told.groupBy("chunk").agg(F.collect_list(F.struct("r", "counts")).alias(name))
     return lists, {r["band"]: r for r in bands}
 
 
 def _score(total, distinct, shares):
+    """`shares`: per length of a history, from 1, those of failure arcs by band."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, row in enumerate(_rows(batch)):
                 chunk = _chunk(row)
                 counts = _word_counts(chunk, row)
-                model = Automaton(counts, total, distinct, shares)
-                _, _, context, pair = chunk.pairs()
-                # One arc per different pair; tokens only pick theirs.
-                word = np.empty(len(context), dtype=np.int64)
-                word[pair] = chunk.tokens
-                arc = model.arcs(context, word, _answers(row, "pairs"))[pair]
+                model = Automaton(counts, total, distinct, shares[0])
+                for length, grams in enumerate(chunk.grams(len(shares)), 2):
+                    model.add(grams, _answers(row, f"n{length}"), shares[length - 1], chunk)
                 own = np.repeat(np.arange(len(chunk.lengths)), chunk.lengths)
                 base = np.bincount(own, model.root[chunk.tokens], minlength=len(chunk.lengths))
                 known = np.bincount(own, counts[chunk.tokens] > 0, minlength=len(chunk.lengths)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("ids")[i].values, pa.array(chunk.held), pa.array(chunk.lengths), pa.array(known),
                      pa.array(np.full(len(chunk.lengths), total, np.int64)), pa.array(base),
-                     pa.array(model.traverse(chunk, arc))],
+                     pa.array(model.traverse(chunk))],
                     names=["_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return score
 
 
-def score(docs: DataFrame, held_out, id_col="doc_id", text_col="text") -> DataFrame:
+def score(docs: DataFrame, held_out, id_col="doc_id", text_col="text", order=2) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     `held_out` is a column; texts where it is false (or null) train the model. A-Z are lower-cased; a text's tokens
     are its words and one end. Null and empty texts have the end alone. Repeated rows are scored, and
     counted in training, as often as they stand there. Without training texts every word is unknown.
-    An empty table gives no rows; other columns are ignored.
+    An empty table gives no rows; other columns are ignored. `order` is the length of the longest n-grams, 1 or more.
     """
     id_type = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held"))
     chunks = stored(rows.mapInArrow(_chunker(CHUNK_TOKENS), f"ids array<{id_type}>, {CHUNK_COLUMNS}"), "chunks")
-    sizes = chunks.agg(F.sum("n_words"), F.sum("n_tokens")).head()
-    ranges = [max(1, -(-(n or 0) // RANGE_KEYS)) for n in sizes]
-    words, bands = _answered(chunks.mapInArrow(_ask_words(ranges[0]), ASKED), "words")
-    total, distinct = (bands[1]["n"], bands[1]["kinds"]) if 1 in bands else (0, 0)
-    chunks = chunks.join(words, "chunk")
-    pairs, bands = _answered(chunks.mapInArrow(_ask_pairs(ranges[1]), ASKED), "pairs")
-    shares = np.full(64, MOST)
-    for b, r in bands.items():
-        if b < 64 and r["n"]:
-            shares[b] = min(MOST, max(LEAST, r["ones"] / r["n"]))
-    scored = chunks.join(pairs, "chunk").mapInArrow(
+    n_chunks, *sizes = (n or 0 for n in chunks.agg(F.count("*"), F.sum("n_words"), F.sum("n_tokens")).head())
+    total = distinct = 0
+    shares, with_counts = [], chunks
+    for length in range(1, order + 1):
+        lists, bands = _answered(with_counts, length, (n_chunks, sizes[min(length, 2) - 1]))
+        with_counts = with_counts.join(lists, "chunk", "left")  # short texts alone hold no long n-grams
+        if length == 1:
+            total, distinct = (bands[1]["n"], bands[1]["kinds"]) if 1 in bands else (0, 0)
+            continue
+        share = np.full(64, MOST)
+        for b, r in bands.items():
+            if b < 64 and r["n"]:
+                share[b] = min(MOST, max(LEAST, r["ones"] / r["n"]))
+        shares.append(share)
+    shares.append(np.full(64, MOST))  # the longest n-grams are no histories
+    scored = with_counts.mapInArrow(
         _score(total, distinct, shares), f"_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, "
         "train_tokens bigint, base_score double, score double")
     return scored.withColumnRenamed("_id", id_col)

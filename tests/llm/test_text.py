@@ -165,6 +165,55 @@ def test_scores_against_brute_force(frame, monkeypatch):
         assert r["score"] == pytest.approx(sum(map(math.log10, p)), abs=1e-8)
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_orders_against_brute_force(frame, monkeypatch, order):
+    monkeypatch.setattr(backoff, "CHUNK_TOKENS", 120)
+    monkeypatch.setattr(backoff, "RANGE_KEYS", 40)
+    monkeypatch.setattr(backoff, "FAN", 3)  # ranges in several levels
+    draw = random.Random(order)
+    words = [f"w{min(int(draw.expovariate(0.4)), 30)}" for _ in range(3000)]
+    texts = [" ".join(words[i:i + draw.choice([0, 1, 3, 40])]) for i in range(0, 3000, 30)] + [None, "", "w1 new w1 w2", "w0 " * 300]
+    rows = list(enumerate(texts))
+    got = backoff.score(frame(rows, "doc_id bigint, text string"), F.col("doc_id") % 4 == 1, order=order).collect()
+    tokens = {i: ["<begin>", *WORD.findall(t or ""), "<end>"] for i, t in rows}
+    training = [i for i in tokens if i % 4 != 1]
+    grams = collections.Counter(tuple(tokens[i][at - n:at]) for i in training for n in range(1, order + 1)
+                                for at in range(n, len(tokens[i]) + 1))
+    single = {g: n for g, n in grams.items() if len(g) == 1 and g != ("<begin>",)}
+    ones, sums = collections.Counter(), collections.Counter()
+    for g, n in grams.items():
+        if len(g) > 1:
+            band = len(g) - 1, int(math.log2(grams[g[:-1]]))
+            sums[band] += n
+            ones[band] += n == 1
+
+    def p(h, w):
+        if not h:
+            return (grams[(w,)] + 1) / (sum(single.values()) + len(single) + 1)
+        if not grams[h]:
+            return p(h[1:], w)
+        band = len(h), int(math.log2(grams[h]))
+        share = min(backoff.MOST, max(backoff.LEAST, ones[band] / sums[band]))
+        return (1 - share) * grams[h + (w,)] / grams[h] + share * p(h[1:], w)
+
+    assert len(got) == len(rows)
+    for r in got:
+        own = tokens[r["doc_id"]]
+        expected = sum(math.log10(p(tuple(own[max(0, at - order + 1):at]), own[at])) for at in range(1, len(own)))
+        assert r["score"] == pytest.approx(expected, abs=1e-8)
+
+
+def test_ranges_in_levels(monkeypatch):
+    assert backoff._widths(1) == [1] and backoff._widths(1000) == [1000]
+    assert backoff._widths(1025) == [33, 1089]
+    monkeypatch.setattr(backoff, "FAN", 3)
+    assert backoff._widths(20) == [3, 9, 27]
+    keys = np.sort(np.random.default_rng(0).integers(0, 1 << backoff.KEY_BITS, 500).astype(np.uint64))
+    fine = backoff._parts(keys, 27, 0, 27)
+    coarse = backoff._parts(keys, 9, 0, 9)
+    assert coarse == fine[::3]
+
+
 def test_states_are_distributions():
     counts = np.array([6, 3, 4, 2, 1])
     pair_counts = np.array([[0, 0, 2, 1, 0], [0, 0, 1, 1, 1], [3, 0, 1, 0, 0], [2, 0, 0, 0, 0], [1, 0, 0, 0, 0]])
