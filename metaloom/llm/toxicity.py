@@ -129,6 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text")
 
     Without positives, or without any other label to tell their share, the model scores all texts 0.
     An id with several labels is toxic if one says so.
+    Texts that repeat weigh once in the fit; the share of positives counts all their labelled ids.
     """
     known = (labels.where(learns_from(id_col) & F.col("toxic").isNotNull())
              .groupBy(id_col).agg(F.max("toxic").alias("toxic")))
