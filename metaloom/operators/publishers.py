@@ -67,17 +67,19 @@ TIERS = ["id", "alias", "uri", "identifier", "name"]
 
 def name_keys(agents: DataFrame, publishers: DataFrame) -> DataFrame:
     """`(key, id, tier)`: what names a publisher. The first tier to claim a key keeps it, ids
-    ascending within a tier. Every agent states all its claims in one row."""
-    accepted = publisher_aliases(publishers)[0].groupBy("id").agg(F.collect_set("alias").alias("_aliases"))
-
+    ascending within a tier. Every agent states its own claims in one row; aliases belong to an id, so
+    they are stated once for it, not by each of its agents."""
     def claims(keys, tier):
         return F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(tier).alias("tier")))
 
     names = F.filter(F.coalesce(F.map_values("agent.name"), F.array().cast("array<string>")), lambda n: n != "")
     own = F.concat(*[claims(F.coalesce(keys, F.array().cast("array<string>")), TIERS.index(tier)) for tier, keys in (
-        ("id", F.array("id")), ("alias", F.col("_aliases")), ("uri", F.array("uri")),
+        ("id", F.array("id")), ("uri", F.array("uri")),
         ("identifier", F.transform("agent.identifiers", strip)), ("name", F.transform(names, slugify)))])
-    stated = agents.join(accepted, "id", "left").select("id", F.inline(own))
+    held = agents.select("id").distinct()
+    called = publisher_aliases(publishers)[0].join(held, "id").select(
+        "id", F.col("alias").alias("key"), F.lit(TIERS.index("alias")).alias("tier"))
+    stated = agents.select("id", F.inline(own)).unionByName(called)
     first = F.min(F.struct("tier", "id"))
     return (stated.filter(F.col("key").isNotNull()).groupBy("key").agg(first.alias("_first"))
             .select("key", "_first.id", "_first.tier"))
