@@ -97,11 +97,14 @@ def resolve(requested: DataFrame, keys: DataFrame, publishers: DataFrame) -> Dat
                         F.struct(slugify(raw).alias("name"), F.lit(True).alias("short")))
     asked = requested.select("value").distinct().select("value", F.inline(spellings))
     held = keys.select(F.col("key"), F.col("id").alias("_id"))
-    listed = publishers.filter(F.col("uri").isNotNull())
-    numbered = listed.select("id", "uri", F.explode(F.array("id", "org_no")).alias("name")).filter(F.col("name").isNotNull())
-    called = publisher_aliases(publishers)[0].join(listed.select("id", "uri"), "id").select("id", "uri", F.col("alias").alias("name"))
-    of_table = (numbered.unionByName(called).join(held.withColumnRenamed("key", "uri"), "uri", "left").groupBy("name").agg(
-        F.min_by("_id", F.when(F.col("_id").isNotNull(), F.col("uri"))).alias("_by_uri"), F.min("id").alias("_listed")))
+    # What the table's rows lead to, folded per id before its aliases meet it: an id has many of both.
+    listed = publishers.filter(F.col("uri").isNotNull()).join(held.withColumnRenamed("key", "uri"), "uri", "left").select(
+        "id", "org_no", F.when(F.col("_id").isNotNull(), F.struct("uri", "_id")).alias("_hit"))
+    numbered = listed.select("id", "_hit", F.explode(F.array("id", "org_no")).alias("name")).filter(F.col("name").isNotNull())
+    of_id = listed.groupBy("id").agg(F.min("_hit").alias("_hit"))
+    called = publisher_aliases(publishers)[0].join(of_id, "id").select("id", "_hit", F.col("alias").alias("name"))
+    of_table = numbered.unionByName(called).groupBy("name").agg(
+        F.min("_hit")["_id"].alias("_by_uri"), F.min("id").alias("_listed"))
     found = asked.join(held.withColumnRenamed("key", "name"), "name", "left").join(of_table, "name", "left")
     short = F.col("short")
     best = found.groupBy("value").agg(

@@ -39,3 +39,13 @@ def test_aliases_are_stated_once_for_an_id(spark):
         ("org", "org", 0), ("alias_7", "org", 1), ("urn:a:7", "org", 2), ("name_7", "org", 4)}
     assert len(keys.collect()) == 3001
     assert handed_on(keys, "Generate") < 20_000
+
+
+def test_aliases_of_a_table_meet_an_id_folded(spark):
+    agents, table = one_publisher(spark, 1000)
+    asked = spark.createDataFrame([("ALIAS 8",), ("alias_9",), ("org",), ("nobody",)], "value string")
+    no_names = agents.select("uri", "id").withColumnRenamed("uri", "key")
+    found = publishers.resolve(asked, no_names, table)
+    assert {tuple(r) for r in found.collect()} == {
+        ("ALIAS 8", "org", True), ("alias_9", "org", True), ("org", "org", True), ("nobody", None, False)}
+    assert handed_on(found, "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin") < 20_000
