@@ -3,6 +3,11 @@
 from pyspark.sql import functions as F
 
 from metaloom.operators import publishers
+from metaloom.operators.entities import with_entities
+from metaloom.operators.graph import with_envelope
+from metaloom.plans import build
+from metaloom.plans.queries_entities import contact_entries
+from metaloom.plans.standins import Tables
 
 
 def handed_on(df, *names):
@@ -49,3 +54,16 @@ def test_aliases_of_a_table_meet_an_id_folded(spark):
     assert {tuple(r) for r in found.collect()} == {
         ("ALIAS 8", "org", True), ("alias_9", "org", True), ("org", "org", True), ("nobody", None, False)}
     assert handed_on(found, "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin") < 20_000
+
+
+def test_staged_entries_leave_their_graphs_behind(spark):
+    rows = contact_entries(Tables(spark, "/root/testdata/sf0.001")).limit(6)
+    places = F.explode(F.array(*[F.struct(F.lit(file).alias("file"), F.lit(0).alias("pos")) for file in ("b", "a")]))
+    entries = rows.select("context_id", "entry_id", "rights", "metadata", "info", places.alias("ord"))
+    plan = build.one_per_entry(with_entities(with_envelope(entries), keep=["ord", "harvested"]))
+    staged = build.stage_entries(entries)
+    for held in (plan, staged):
+        assert not any("map<string,map" in kind for _, kind in held.dtypes)
+    assert {(r["uri"], r["email"]) for r in build.contacts(staged).collect()} == {
+        (f"urn:contact:{i}", f"e{i}@example.org") for i in (int(r[0]) for r in rows.select("entry_id").collect())}
+    assert staged.count() == 6 and {r[0] for r in staged.select("ord.file").collect()} == {"b"}
