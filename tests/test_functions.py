@@ -49,6 +49,13 @@ def test_kinds(spark):
                 quality.kind_of("f", "d", "a", F.col("s"))))
 
 
+def test_an_address_is_matched_once(spark):
+    """Each of the two addresses meets the patterns in one place of the plan, not wherever its kind is named."""
+    rows = spark.createDataFrame([("csv", "https://h.example.org/a", None)], "f string, d string, a string")
+    plan = rows.select(quality.kind_of("f", "d", "a", F.lit(False)).alias("kind"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("wmsserver") == 2
+
+
 def test_dead_reasons(spark):
     rows = [(r, "true") for r in ("Not Found", " forbidden ", "404", "File not found", "Access Denied",
                                   "Content Too Large", "Request Entity Too Large", "I'm a Teapot", "500",
