@@ -52,14 +52,13 @@ def read_entries(spark: SparkSession, path) -> DataFrame:
     return entries_of_pages(read_pages(spark, path)[0])
 
 
-def read_link_checks(spark: SparkSession, path):
-    """(checks, unreadable) of link-check reports stored as `<context>/<entry>.json`.
+def split_reports(texts: DataFrame):
+    """(checks, unreadable) of link-check reports as `(file, text)`, the file named `<context>/<entry>.json`.
 
     A report is a JSON list. One that is no list or cannot be read is put aside by file name,
     and its catalogue goes without; checks without a URL are dropped.
     """
-    texts = spark.read.option("wholetext", True).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.trim("value").alias("text"))
+    texts = texts.select("file", F.trim("text").alias("text"))
     lists = F.from_json("text", T.ArrayType(schemas.LINK_CHECK))
     parsed = texts.select("file", F.when(F.startswith("text", F.lit("[")), lists).alias("checks"))
     names = parsed.select(
@@ -72,6 +71,23 @@ def read_link_checks(spark: SparkSession, path):
     return rows, names.filter(F.col("checks").isNull()).select("file")
 
 
+def read_link_checks(spark: SparkSession, path):
+    """`split_reports` of a file per report. A file costs the driver a listing, so for very many reports
+    see `read_packed_checks`."""
+    texts = spark.read.option("wholetext", True).text(path)
+    return split_reports(texts.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")))
+
+
+def pack_reports(texts: DataFrame, path):
+    """Writes reports, `(file, text)`, as rows of few Parquet files."""
+    texts.select("file", "text").write.mode("overwrite").parquet(path)
+
+
+def read_packed_checks(spark: SparkSession, path):
+    """`split_reports` of reports that `pack_reports` wrote: as many files as tasks, however many reports."""
+    return split_reports(spark.read.schema("file string, text string").parquet(path))
+
+
 def report_entries(entries: DataFrame) -> DataFrame:
     """`(context_id, report_id, created, ord)` of link-check report entries."""
     node = first(F.map_values("metadata"))

@@ -8,6 +8,7 @@ from metaloom.operators.graph import with_envelope
 from metaloom.plans import build
 from metaloom.plans.queries_entities import contact_entries
 from metaloom.plans.standins import Tables
+from metaloom.sources import registry
 
 
 def handed_on(df, *names):
@@ -67,3 +68,21 @@ def test_staged_entries_leave_their_graphs_behind(spark):
     assert {(r["uri"], r["email"]) for r in build.contacts(staged).collect()} == {
         (f"urn:contact:{i}", f"e{i}@example.org") for i in (int(r[0]) for r in rows.select("entry_id").collect())}
     assert staged.count() == 6 and {r[0] for r in staged.select("ord.file").collect()} == {"b"}
+
+
+def test_reports_are_packed_into_few_files(spark, tmp_path):
+    """However many contexts have a report; each one reads as it does from a file of its own."""
+    bodies = {"a": '[{"uri": "u", "status": "broken"}, {"uri": ""}]', "b": '[{"uri": "v"', "c": ' []', "d": '{"uri": "w"}'}
+    for name, body in bodies.items():
+        (tmp_path / "files" / name).mkdir(parents=True)
+        (tmp_path / "files" / name / "r.json").write_text(body)
+    packed, more = str(tmp_path / "packed"), 2000
+    few = spark.createDataFrame([(f"{name}/r.json", body) for name, body in bodies.items()], "file string, text string")
+    many = spark.range(more).select(F.concat(F.lit("m"), "id", F.lit("/r.json")).alias("file"), F.lit('[{"uri": "m"}]').alias("text"))
+    registry.pack_reports(few.unionByName(many), packed)
+    assert len(list((tmp_path / "packed").glob("*.parquet"))) < 20
+    ours, theirs = registry.read_packed_checks(spark, packed), registry.read_link_checks(spark, str(tmp_path / "files" / "*" / "*.json"))
+    assert ours[0].filter("uri = 'm'").count() == more
+    assert ours[0].filter("uri <> 'm'").collect() == theirs[0].collect() and theirs[0].count() == 1
+    assert {r[0] for r in ours[1].collect()} == {"b/r.json", "d/r.json"}
+    assert {r[0][-8:] for r in theirs[1].collect()} == {"b/r.json", "d/r.json"}
