@@ -245,26 +245,32 @@ def entity_of_types(types) -> Column:
 
 def with_envelope(entries: DataFrame) -> DataFrame:
     """Adds the envelope's fields, read off the `info` graph, and whether a guest may read the
-    entry."""
-    found = computed(entries, entry_uri=first(named_subjects(F.col("info"))))
-    found = computed(found, _node=described(F.col("info"), F.col("entry_uri")))
-    node = F.col("_node")
-    return computed(
-        found,
-        resource_uri=first_uri(objects(node, "es:resource")),
-        created=date_of(objects(node, "dcterms:created")),
-        harvested=date_of(objects(node, "dcterms:modified")),
-        creator=first_uri(objects(node, "dcterms:creator")),
-        entry_type=first_uri(objects(node, "rdf:type")),
-        is_public=F.array_contains(F.coalesce("rights", F.array().cast("array<string>")),
-                                   "readmetadata")).drop("_node")
+    entry. One step finds the envelope's node; fields nobody asks for are not read."""
+    def envelope(uri):
+        return let(described(F.col("info"), uri), lambda node: F.struct(
+            uri.alias("uri"), node.alias("node"), first_uri(objects(node, "es:resource")).alias("resource")))
+
+    found = computed(entries, _envelope=let(first(named_subjects(F.col("info"))), envelope))
+    node = F.col("_envelope.node")
+    return found.withColumns({
+        "entry_uri": F.col("_envelope.uri"),
+        "resource_uri": F.col("_envelope.resource"),
+        "created": date_of(objects(node, "dcterms:created")),
+        "harvested": date_of(objects(node, "dcterms:modified")),
+        "creator": first_uri(objects(node, "dcterms:creator")),
+        "entry_type": first_uri(objects(node, "rdf:type")),
+        "is_public": F.array_contains(F.coalesce("rights", F.array().cast("array<string>")),
+                                      "readmetadata")}).drop("_envelope")
 
 
 def _about(entries: DataFrame, subject) -> DataFrame:
-    found = computed(entries, subject=subject)
-    named = ~is_blank_node(F.col("subject")) & (F.col("subject") != "")
-    return computed(found, node=described(F.col("metadata"), F.col("subject")),
-                    uri=F.coalesce("resource_uri", F.when(named, F.col("subject"))))
+    def about(chosen):
+        named = ~is_blank_node(chosen) & (chosen != "")
+        return F.struct(chosen.alias("subject"), described(F.col("metadata"), chosen).alias("node"),
+                        F.coalesce("resource_uri", F.when(named, chosen)).alias("uri"))
+
+    found = computed(entries, _about=let(subject, about))
+    return found.withColumns({n: F.col(f"_about.{n}") for n in ("subject", "node", "uri")}).drop("_about")
 
 
 def with_subject(entries: DataFrame, entity=None) -> DataFrame:

@@ -191,8 +191,7 @@ def graph_text(subjects):
         for predicate, nodes in predicates.items():
             inner.append(F.lit(iri(predicate)))
             if isinstance(nodes, list):
-                told = [n.cast(_NODE) for n in nodes]
-                inner.append(F.array_compact(F.array(*[F.when(n["value"].isNotNull(), n) for n in told])))
+                inner.append(F.filter(F.array(*nodes), lambda n: n["value"].isNotNull()))
             else:
                 inner.append(F.filter(nodes.cast(f"array<{_NODE}>"), lambda n: n["value"].isNotNull()))
         pairs += [subject, F.create_map(*inner)]

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from metaloom.operators import publishers
 from metaloom.operators.entities import with_entities
-from metaloom.operators.graph import with_envelope
+from metaloom.operators.graph import with_envelope, with_subject
 from metaloom.plans import build
 from metaloom.plans.queries_entities import contact_entries
 from metaloom.plans.standins import Tables
@@ -86,3 +86,11 @@ def test_reports_are_packed_into_few_files(spark, tmp_path):
     assert ours[0].filter("uri <> 'm'").collect() == theirs[0].collect() and theirs[0].count() == 1
     assert {r[0] for r in ours[1].collect()} == {"b/r.json", "d/r.json"}
     assert {r[0][-8:] for r in theirs[1].collect()} == {"b/r.json", "d/r.json"}
+
+
+def test_an_entry_is_read_in_few_steps(spark):
+    """Texts, graphs, envelope and subject, one step each; an envelope's date that nobody asks for is not read."""
+    rows = with_subject(contact_entries(Tables(spark, "/root/testdata/sf0.001")), "contact").select("entry_id", "uri")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 4 and "terms/modified" not in plan
+    assert {r["uri"] for r in rows.collect()} == {f"urn:contact:{r['entry_id']}" for r in rows.collect()}
