@@ -10,7 +10,7 @@ from metaloom.constants import LANGUAGES
 from metaloom.functions.literals import literal_map
 from metaloom.functions.uris import as_column
 
-BEYOND_ASCII = "[^\\x00-\\x7f]"
+BEYOND_ASCII, ASCII_RUNS = "[^\\x00-\\x7f]", "[\\x00-\\x7f]+"
 _EDGE = "[\\s\\x1c-\\x1f]+"
 # No character from here on has a special caseless form, or has a compatibility form or combines,
 # but for ideographs, which hold nothing ASCII.
@@ -40,10 +40,15 @@ def _foldings():
 
 
 def _unfolded(text, several) -> Column:
-    """Characters that stand for several, spelled out; only those the text holds are looked at."""
-    held = F.filter(F.map_entries(literal_map(several)), lambda e: F.contains(text, e["key"]))
-    spelled = F.aggregate(held, text, lambda done, e: F.replace(done, e["key"], e["value"]))
-    return F.when(text.rlike("[" + "".join(several) + "]"), spelled).otherwise(text)
+    """Characters that stand for several, spelled out. Only what is beyond ASCII is searched for them, one
+    lookup a character; a class of hundreds of characters would be tried in turn on every character."""
+    def spelled(others):
+        held = F.array_intersect(F.split(others, ""), F.lit(list(several)))
+        spelling = literal_map(several)
+        return F.when(F.translate(others, "".join(several), "") == others, text).otherwise(
+            F.aggregate(held, text, lambda done, c: F.replace(done, c, F.try_element_at(spelling, c))))
+
+    return let(F.regexp_replace(text, ASCII_RUNS, ""), spelled)
 
 
 def casefold(text) -> Column:
@@ -103,7 +108,7 @@ def strip_accents(text) -> Column:
 def slugify(text) -> Column:
     """A short lower-case name: no accents, no parentheticals, words joined by `_`."""
     plain = F.regexp_replace(F.lower(strip_accents(text)), "\\([^)]*\\)", " ")
-    return F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9]+", "_"), "^_+|_+$", "")
+    return F.btrim(F.array_join(F.split(plain, "[^a-z0-9]+"), "_"), F.lit("_"))
 
 
 def nullif_empty(text) -> Column:

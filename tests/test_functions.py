@@ -81,6 +81,17 @@ def test_slugs_equal_the_definition(spark):
     check(table(spark, [(w, expected(w)) for w in words], "w string", text.slugify("w")))
 
 
+def test_spelled_out_characters_are_looked_up(spark):
+    """One lookup a character: a class of all of them would be tried in turn on every character of a text."""
+    for several, column in ((text._decompositions()[1], text.slugify("w")), (text._foldings()[1], text.casefold("w"))):
+        rows = spark.createDataFrame([("x",)], "w string").select(column)
+        assert "[" + "".join(several)[:40] not in rows._jdf.queryExecution().analyzed().toString()
+    words = ["ß" * 3000 + " ﬁ ½ ﬁ 𝟘🄀ﬃ 漢 …½…", "(ﬁ) Straße … (ﬂ", "__a--ﬁ__"]
+    expected = ["fi_1_2_fi_00_ffi_1_2", "stra_e_fl", "a_fi"]
+    check(table(spark, list(zip(words, expected)), "w string", text.slugify("w")))
+    check(table(spark, [(w, w.casefold()) for w in words], "w string", text.casefold("w")))
+
+
 def test_casefold_equals_python(spark):
     words = [" Straße ", "ΟΔΟΣ", "ﬁ", "ıI", "Kommun\n    ", " x "]
     check(table(spark, [(w, w.strip().casefold()) for w in words], "w string", text.fold_keyword("w")))
