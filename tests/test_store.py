@@ -88,6 +88,32 @@ def test_scattered_keys_write_no_more_than_their_rows(spark, tmp_path):
     assert grown.pointer()["tables"]["records"]["deltas"] == []
 
 
+def test_small_buckets_share_files(spark, tmp_path):
+    """Files grow with the rows, however small a bucket is; each bucket still has its own version."""
+    store = Store(spark, tmp_path / "s", bucket_rows=50)
+    store.rebuild(many(spark, 0, 20_000), "t1")
+    table = store.pointer()["tables"]["records"]
+    assert table["buckets"] == 512 and len(list((tmp_path / "s" / "records" / "v=1").rglob("*.parquet"))) < 20
+    expected = {("c", str(i)): i for i in range(20_000)}
+    for version, keys in ((2, range(0, 30, 3)), (4, range(1, 5)), (6, range(19_990, 20_010))):
+        new = spark.createDataFrame([("c", str(i), f"u{i}", "dataset", "2024-01-02", -version) for i in keys],
+                                    "context_id string, entry_id string, uri string, type string, harvested string, n int")
+        store.upsert(new, "t2")
+        expected.update({("c", str(i)): -version for i in keys})
+        touched = store.compact()
+        assert 0 < len(touched) <= len(keys) and held(store) == expected
+        assert spark.read.parquet(str(tmp_path / "s" / "records" / f"v={version + 1}")).select("bucket").distinct().count() == len(touched)
+    assert len(set(store.pointer()["tables"]["records"]["parts"].values())) == 4
+    # Where a bucket has a folder of its own, those of versions it has left are not opened.
+    apart = Store(spark, tmp_path / "apart", bucket_rows=125_001)
+    apart.rebuild(many(spark, 0, 500_000), "t1")
+    apart.upsert(many(spark, 7, 8), "t2")
+    assert len(apart.compact()) == 1 and apart.records().count() == 500_000
+    read = apart.records()
+    read.count()
+    assert len(read.inputFiles()) >= 4 and "array_contains" in read._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1].split("PushedFilters")[0]
+
+
 def test_deltas_are_compacted_before_they_are_many(spark, tmp_path):
     store = Store(spark, tmp_path / "s", max_deltas=3)
     store.upsert_table("verdicts", spark.createDataFrame([], "url string, status string, checked string"), "url", latest="checked")
