@@ -21,9 +21,17 @@ def spelled_lookup(rows: DataFrame, uri, table: DataFrame, payload) -> DataFrame
     """Left join `rows` to a table keyed by URI, whichever way the URI is spelled.
 
     The URI as given comes first, then its spellings in order. Spellings share a key, so this is
-    two equi-joins on unique keys: rows are not multiplied by their spellings. `payload` names
-    the columns of `table` to add.
+    two equi-joins on unique keys: rows are not multiplied by their spellings. Each different URI is
+    spelled and looked up once, however many rows name it. `payload` names the columns of `table` to add.
     """
+    asked = rows.select(F.col(uri).alias("_asked")).filter(F.col("_asked").isNotNull()).distinct()
+    found = _looked_up(asked, "_asked", table, payload).select("_asked", F.struct(*payload).alias("_found"))
+    joined = left_lookup(rows.withColumn("_asked", F.col(uri)), found, "_asked").drop("_asked")
+    return joined.select(*rows.columns, *[F.col(f"_found.{name}").alias(name) for name in payload])
+
+
+def _looked_up(rows, uri, table, payload) -> DataFrame:
+    """`spelled_lookup`, row by row."""
     value = F.struct(*payload)
     exact = table.select(F.col("uri").alias("_uri"), value.alias("_exact")).dropDuplicates(["_uri"])
     # Only a spelling without fragment or page suffix can be met by another spelling, so an
@@ -93,9 +101,11 @@ def term_slugs(labels: DataFrame) -> DataFrame:
 
 def with_slug(rows: DataFrame, uri, labels: DataFrame, into="slug") -> DataFrame:
     """Adds the short name of a URI: the vocabulary's, a language code, else its last segment."""
-    found = spelled_lookup(rows, uri, term_slugs(labels).withColumnRenamed("slug", "_slug"), ["_slug"])
-    return found.withColumn(into, F.when(F.col(uri) != "", F.coalesce(
-        "_slug", language_code(uri), nullif_empty(slugify(last_segment(uri)))))).drop("_slug")
+    terms = rows.select(F.col(uri).alias("_term")).filter(F.col("_term") != "").distinct()
+    found = _looked_up(terms, "_term", term_slugs(labels).withColumnRenamed("slug", "_slug"), ["_slug"])
+    named = found.select("_term", F.coalesce(
+        "_slug", language_code("_term"), nullif_empty(slugify(last_segment("_term")))).alias(into))
+    return left_lookup(rows.withColumn("_term", F.col(uri)).drop(into), named, "_term").drop("_term")
 
 
 def resolve_slugs(requested: DataFrame, labels: DataFrame, value="value") -> DataFrame:

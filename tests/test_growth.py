@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from metaloom.operators import publishers
+from metaloom.operators import publishers, vocabulary
 from metaloom.operators.entities import with_entities
 from metaloom.operators.graph import with_envelope, with_subject
 from metaloom.plans import build
@@ -94,3 +94,16 @@ def test_an_entry_is_read_in_few_steps(spark):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate inline") == 4 and "terms/modified" not in plan
     assert {r["uri"] for r in rows.collect()} == {f"urn:contact:{r['entry_id']}" for r in rows.collect()}
+
+
+def test_a_uri_is_looked_up_once_however_many_rows_name_it(spark):
+    """Of the joins, one hands on all rows; the lookups of spellings see each different URI once."""
+    labels = spark.createDataFrame([("http://v.example.org/a", {"en": "Big thing"}, "1")], "uri string, label map<string,string>, ord string")
+    uris = ["http://v.example.org/a", "https://v.example.org/a/", "http://v.example.org/c/Other-Thing", "", None]
+    rows = spark.range(5000).select("id", F.get(F.array(*map(F.lit, uris)), (F.col("id") % 5).cast("int")).alias("uri"), F.lit("old").alias("slug"))
+    for found, last in ((vocabulary.with_slug(rows, "uri", labels), "other_thing"), (vocabulary.with_labels(rows, "uri", labels).select(
+            "id", "uri", F.try_element_at("label", F.lit("en")).alias("slug")), None)):
+        named = found.collect()
+        expected = ["big_thing", "big_thing"] if last else ["Big thing", "Big thing"]
+        assert sorted((r["id"], r["slug"]) for r in named if r["id"] < 5) == list(enumerate([*expected, last, None, None])) and len(named) == 5000
+        assert handed_on(found, "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin") < 6000
