@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from metaloom.operators import publishers, vocabulary
 from metaloom.operators.entities import with_entities
-from metaloom.operators.graph import with_envelope, with_subject
+from metaloom.operators.graph import (described, objects, parse_graph, text_map, uris, values, with_envelope, with_subject,
+                                      word_map)
 from metaloom.plans import build
 from metaloom.plans.queries_entities import contact_entries
 from metaloom.plans.standins import Tables
@@ -107,3 +108,36 @@ def test_a_uri_is_looked_up_once_however_many_rows_name_it(spark):
         expected = ["big_thing", "big_thing"] if last else ["Big thing", "Big thing"]
         assert sorted((r["id"], r["slug"]) for r in named if r["id"] < 5) == list(enumerate([*expected, last, None, None])) and len(named) == 5000
         assert handed_on(found, "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin") < 6000
+
+
+def test_what_is_not_wanted_is_classified_and_left(spark):
+    """Staging for services reads no datasets, but an entry that became a dataset on a later page is no service any more."""
+    def graph(subject, kind):
+        return f'{{"{subject}": {{"http://www.w3.org/1999/02/22-rdf-syntax-ns#type": [{{"type": "uri", "value": "{kind}"}}]}}}}'
+
+    service, dataset = "http://www.w3.org/ns/dcat#DataService", "http://www.w3.org/ns/dcat#Dataset"
+    rows = [("1", "a", service), ("1", "b", dataset), ("2", "a", dataset), ("2", "b", service), ("3", "a", dataset)]
+    info = '{{"urn:e:{0}": {{"http://entrystore.org/terms/resource": [{{"type": "uri", "value": "urn:r:{0}"}}]}}}}'
+    texts = spark.createDataFrame([(n, f, graph(f"urn:r:{n}", kind), info.format(n)) for n, f, kind in rows], "entry_id string, file string, m string, i string")
+    entries = texts.select(F.lit("c").alias("context_id"), "entry_id", F.array(F.lit("readmetadata")).alias("rights"), parse_graph(F.col("m")).alias("metadata"),
+                           parse_graph(F.col("i")).alias("info"), F.struct("file", F.lit(0).alias("pos")).alias("ord"))
+    staged = build.stage_entries(entries, wanted=build.SERVICES)
+    assert [r[0] for r in build.projected(staged, "data_service").select("uri").collect()] == ["urn:r:2"] and staged.count() == 1
+    assert "dataset" not in staged.columns and "distribution" not in staged.columns
+    narrow = build.stage_entries(entries, wanted=build.REFERENCES)
+    assert len(narrow.select("dataset.*").columns) == 4 and narrow.count() == 3
+
+
+def test_short_lists_need_no_function_per_element(spark):
+    """Lists of one or two objects give what longer ones would."""
+    texts = {"none": "[]", "one": '[{"type":"literal","value":"a","lang":"en"}]',
+             "same": '[{"type":"literal","value":"","lang":"sv"},{"type":"literal","value":"b","lang":"sv"}]',
+             "two": '[{"type":"literal","value":"","lang":"sv"},{"type":"literal","value":"b","lang":"en-GB"}]',
+             "odd": '[{"type":"literal","value":"a","lang":""},{"type":"literal","value":"b","xml:lang":"fi"}]',
+             "uris": '[{"type":"uri","value":"u"},{"type":"uri","value":"v"}]', "mixed": '[{"type":"literal","value":"a"},{"type":"uri","value":"v"}, null]'}
+    rows = spark.createDataFrame([(n, f'{{"s":{{"p://p":{t}}}}}') for n, t in texts.items()], "name string, text string")
+    nodes = objects(described(parse_graph(F.col("text")), F.lit("s")), "p://p")
+    found = {r["name"]: (r["t"], r["w"], r["u"], r["v"]) for r in rows.select("name", text_map(nodes).alias("t"), word_map(nodes).alias("w"), uris(nodes).alias("u"), values(nodes).alias("v")).collect()}
+    assert found == {"none": ({}, {}, [], []), "one": ({"en": "a"}, {"en": ["a"]}, [], ["a"]), "same": ({}, {"sv": ["", "b"]}, [], ["", "b"]),
+                     "two": ({"en": "b"}, {"sv": [""], "en": ["b"]}, [], ["", "b"]), "odd": ({"sv": "a"}, {"sv": ["a", "b"]}, [], ["a", "b"]),
+                     "uris": ({}, {}, ["u", "v"], []), "mixed": ({"sv": "a"}, {"sv": ["a"]}, ["v"], ["a"])}
